@@ -1,3 +1,10 @@
 """All check queries."""
 
-from checks import q_aggregates, q_joins, q_sources_rows  # noqa: F401
+from checks import (  # noqa: F401
+    q_aggregates,
+    q_forecast_metrics,
+    q_joins,
+    q_shape_splits,
+    q_sources_rows,
+    q_windows,
+)

@@ -68,27 +68,27 @@ def positions(
     map side; only they are ordered per series.
     """
     keys = list(keys)
-    celled = df.withColumn("_cell", cell)
-    along = _cell_window(keys, "_cell")
+    celled = df.withColumn("__cell", cell)
+    along = _cell_window(keys, "__cell")
     starts = (
-        celled.groupBy(*keys, "_cell")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        celled.groupBy(*keys, "__cell")
+        .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn(
-            "_start",
-            F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+            "__start",
+            F.coalesce(F.sum("__n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         )
-        .withColumn("_size", F.sum("_n").over(Window.partitionBy(*keys)))
-        .drop("_n")
+        .withColumn("__size", F.sum("__n").over(Window.partitionBy(*keys)))
+        .drop("__n")
     )
-    inside = Window.partitionBy(*keys, "_cell").orderBy(*order)
+    inside = Window.partitionBy(*keys, "__cell").orderBy(*order)
     out = (
-        celled.withColumn("_in", F.row_number().over(inside) - 1)
-        .join(starts, [*keys, "_cell"], "left")
-        .withColumn(name, F.col("_start") + F.col("_in"))
+        celled.withColumn("__in", F.row_number().over(inside) - 1)
+        .join(starts, [*keys, "__cell"], "left")
+        .withColumn(name, F.col("__start") + F.col("__in"))
     )
     if size:
-        out = out.withColumn(size, F.col("_size"))
-    return out.drop("_cell", "_in", "_start", "_size")
+        out = out.withColumn(size, F.col("__size"))
+    return out.drop("__cell", "__in", "__start", "__size")
 
 
 def sorted_positions(
