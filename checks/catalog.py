@@ -7,5 +7,6 @@ from checks import (  # noqa: F401
     q_models,
     q_shape_splits,
     q_sources_rows,
+    q_templates,
     q_windows,
 )

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,26 +56,28 @@ def score_stats(
     match: Column | None = None,
     clock: Callable[[], float] = time.time,
 ) -> DataFrame:
-    """Append scored rows and one row of counts, duration and rate.
+    """Store the matches of a group, and append its counts, duration and rate.
 
-    Both counts are observed while the rows are written, so they cost no pass
-    of their own.
+    The group is a partition of the result, which a second run of it replaces.
+    Counting the rows that went in reads no feature and scores nothing; the
+    matches are counted in the stored partition.
     """
-
-
     spark = scored.sparkSession
-    seen = Observation()
-    matching = F.lit(True) if match is None else match
-    observed = scored.observe(
-        seen, F.count(F.lit(1)).alias("rows"), F.count_if(matching).alias("matches")
-    )
     started = clock()
-    (observed if match is None else observed.filter(match)).write.mode("append").parquet(path)
+    matches = scored if match is None else scored.filter(match)
+    (
+        matches.withColumn("group_id", F.lit(group))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("group_id")
+        .parquet(path)
+    )
     ended = clock()
-    counts = seen.get
-    duration = ended - started
-    rate = counts["rows"] / duration if duration > 0 else None
-    row = [(group, counts["rows"], counts["matches"], started, ended, duration, rate)]
+    stored = T.StructType([*matches.schema.fields, T.StructField("group_id", T.StringType())])
+    kept = spark.read.schema(stored).parquet(path).filter(F.col("group_id") == group).count()
+    rows, duration = scored.count(), ended - started
+    rate = rows / duration if duration > 0 else None
+    row = [(group, rows, kept, started, ended, duration, rate)]
     spark.createDataFrame(row, STATS).write.mode("append").parquet(stats_path)
     return spark.read.parquet(stats_path)
 
