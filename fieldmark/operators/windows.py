@@ -230,13 +230,17 @@ def lag_by_horizon(
     past = {f"_p{n}": lambda w, n=n: F.lag(value, n).over(w) for n in range(1, reach + 1)}
     out = over_blocks(df, keys, pos, past, before=reach)
     out = out.withColumn("_past", F.array(*[f"_p{n}" for n in range(1, reach + 1)]))
+    if complete:
+        out = out.dropna(subset=df.columns)
     out = out.select(*df.columns, "_past", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon"))
-    out = out.select(
+    if complete:
+        # One condition on the slice, instead of one per lag column.
+        out = out.filter(F.forall(F.slice("_past", F.col("horizon"), lags), lambda x: x.isNotNull()))
+    return out.select(
         *df.columns,
         "horizon",
         *[F.element_at("_past", F.col("horizon") + (n - 1)).alias(f"lag{n}") for n in range(1, lags + 1)],
     )
-    return out.dropna() if complete else out
 
 
 def test_lags(
