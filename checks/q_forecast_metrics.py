@@ -11,6 +11,7 @@ from checks.q_sources_rows import SPINE
 from checks.q_windows import SPLIT, train_test, weekly
 from fieldmark.operators import forecast as fc
 from fieldmark.operators import metrics as m
+from fieldmark.session import stored
 
 KEYS = ["id1", "id2"]
 SEASON = 52
@@ -34,7 +35,7 @@ def series_rules(t: Tables):
     "sales",
 )
 def series_rules_split(t: Tables):
-    data = weekly(t)
+    data = stored(weekly(t), "weekly")
     sized = data.withColumn("size", data.agg(F.max("pos").alias("m")).scalar() + 1)
     return fc.series_rules_split(sized, KEYS, "pos", "size", "value", 4)
 
@@ -275,7 +276,7 @@ def residual_bands(t: Tables):
     "sales",
 )
 def residual_acf(t: Tables):
-    errors = weekly(t).select(*KEYS, "pos", (F.coalesce("value", F.lit(0.0)) - 25).alias("error"))
+    errors = stored(weekly(t), "weekly").select(*KEYS, "pos", (F.coalesce("value", F.lit(0.0)) - 25).alias("error"))
     return m.residual_acf(errors, KEYS, "pos", "error", 5).withColumn("acf", r6("acf"))
 
 

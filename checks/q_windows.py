@@ -9,6 +9,7 @@ from checks.q_joins import ERROR_ROWS, GRID15
 from checks.q_sources_rows import SPINE
 from fieldmark.operators import aggregates, joins, ordered, windows
 from fieldmark.operators.rows import fill_mean
+from fieldmark.session import stored
 
 ROW_LAGS = [24, 25, 26, 27, 28, 31, 36, 40, 48, 72, 96]
 SENSORS = ["volt", "rotate", "pressure", "vibration"]
@@ -16,9 +17,8 @@ SENSORS = ["volt", "rotate", "pressure", "vibration"]
 
 def grid15(t: Tables):
     """Demand of every region on the full 15-minute grid, with its position."""
-    span = t.demand.agg(F.min("time").alias("lo"), F.max("time").alias("hi"))
     regions = t.demand.select("region").distinct()
-    grid = joins.time_grid(regions, span.select("lo").scalar(), span.select("hi").scalar(), 900, pos="pos")
+    grid = joins.time_grid(regions, *joins.time_span(t.demand, "time"), 900, pos="pos")
     return joins.spine_join(grid, t.demand, ["region"], "time")
 
 
@@ -237,7 +237,7 @@ LAG_COLUMNS = ", ".join(
     "sales",
 )
 def lag_by_horizon(t: Tables):
-    filled = fill_mean(weekly(t), ["id1", "id2"], "value")
+    filled = fill_mean(stored(weekly(t), "weekly"), ["id1", "id2"], "value")
     out = windows.lag_by_horizon(filled, ["id1", "id2"], "pos", "value", LAGS, HORIZON)
     return out.groupBy("horizon").agg(
         F.count(F.lit(1)).alias("n"), *[r6(F.sum(f"lag{n}"), 2).alias(f"lag{n}") for n in (1, 2, 13, 25, 26)]
@@ -253,7 +253,7 @@ SPLIT = f"""{SPINE}, placed AS (SELECT *, row_number() OVER (PARTITION BY id1, i
 
 def train_test(t: Tables):
     """Weekly grid cut into training rows and the last rows."""
-    data = weekly(t)
+    data = stored(weekly(t), "weekly")
     steps = data.agg(F.max("pos").alias("m")).scalar() - TEST_ROWS
     return data.filter(F.col("pos") <= steps), data.filter(F.col("pos") > steps)
 

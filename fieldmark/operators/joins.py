@@ -94,19 +94,22 @@ def days_since_last(
     kinds: Sequence[str],
     prefix: str = "sincelast",
     chained: bool = False,
+    days_of: DataFrame | None = None,
 ) -> DataFrame:
     """Days since the last earlier event of each kind; NULL if there is none.
 
     Days are enough to decide it: an event earlier on the same day gives 0,
     otherwise the last day with an event counts.  So events are reduced to one
     row per key and day on the map side, the order runs over days, and the rows
-    meet them in one equi-join.  `chained` gives the values of a template that
+    meet them in one equi-join.  `days_of` may name a table with the same keys
+    and days that is cheaper to read than `rows`.  `chained` gives the values of a template that
     joined the kinds one after another: without a first kind all are lost, and
     the fourth is lost without the third.
     """
     firsts = [F.min(F.when(F.col(kind) == k, F.col(event_time))).alias(f"_first_{k}") for k in kinds]
     event_days = events.groupBy(F.col(key), F.col(event_time).cast("date").alias("_day")).agg(*firsts)
-    row_days = rows.select(key, F.col(time).cast("date").alias("_day")).distinct()
+    dated = rows if days_of is None else days_of
+    row_days = dated.select(key, F.col(time).cast("date").alias("_day")).distinct()
     days = (
         event_days.unionByName(row_days, allowMissingColumns=True)
         .groupBy(key, "_day")
@@ -226,6 +229,12 @@ def time_grid(
     return out.withColumnRenamed("_step", pos) if pos else out.drop("_step")
 
 
+def time_span(data: DataFrame, time: str) -> tuple[Column, Column]:
+    """First and last time of a table, found by one aggregate."""
+    span = data.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi")).alias("span")).scalar()
+    return span.getField("lo"), span.getField("hi")
+
+
 def spine_join(
     grid: DataFrame, data: DataFrame, keys: Sequence[str], time: str
 ) -> DataFrame:
@@ -237,11 +246,8 @@ def series_spine(
     data: DataFrame, keys: Sequence[str], time: str, step_days: int = 7, pos: str | None = None
 ) -> DataFrame:
     """Every series at every step between the overall first and last time."""
-    span = data.agg(F.min(time).alias("lo"), F.max(time).alias("hi"))
     series = data.select(*keys).distinct()
-    grid = time_grid(
-        series, span.select("lo").scalar(), span.select("hi").scalar(), step_days * 86_400, time, pos
-    )
+    grid = time_grid(series, *time_span(data, time), step_days * 86_400, time, pos)
     return spine_join(grid, data, keys, time)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.functions.calendar import daily_fourier, day_hour_columns, hour_start
 from fieldmark.models.train import train_forest
-from fieldmark.operators.joins import merge_upsert, time_grid
+from fieldmark.operators.joins import merge_upsert, spine_join, time_grid
 from fieldmark.operators.ordered import over_blocks
 
 # The grid, the lags in grid rows, and the rows of a day.
@@ -38,11 +38,11 @@ def forecast_times(as_of: datetime, hours: int = 6) -> tuple[datetime, datetime,
 
 def load_and_temperature(
     demand: DataFrame, temperature: DataFrame, start: datetime, end: datetime, score_start: datetime, score_end: datetime
-) -> DataFrame:
-    """Full grid per region with load and temperature; gaps are NULL.
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with load and temperature, and the regions.
 
-    A grid row has values if its hour has a temperature and the row itself is
-    a demand reading or a time to forecast.
+    A row counts if its hour has a temperature and the row itself is a demand
+    reading or a time to forecast.
     """
     history = demand.filter(F.col("time").between(_time(start), _time(end))).select("region", "time", "load")
     regions = demand.select("region").distinct()
@@ -52,8 +52,7 @@ def load_and_temperature(
         "region", hour_start(F.col("time")).alias("_hour"), "temperature"
     )
     known = readings.withColumn("_hour", hour_start(F.col("time"))).join(hourly, ["region", "_hour"], "inner")
-    grid = time_grid(regions, _time(start), _time(score_end), STEP_SECONDS, pos="pos")
-    return grid.join(known.drop("_hour"), ["region", "time"], "left")
+    return known.drop("_hour"), regions
 
 
 def energy_features(
@@ -69,8 +68,13 @@ def energy_features(
     A lag of a filled value is the value that many rows back, else the one a
     day before that, else the mean; so filling and lagging share one exchange.
     """
-    grid = load_and_temperature(demand, temperature, start, end, score_start, score_end)
-    means = grid.groupBy("region").agg(
+    known, regions = load_and_temperature(demand, temperature, start, end, score_start, score_end)
+    grid = spine_join(
+        time_grid(regions, _time(start), _time(score_end), STEP_SECONDS, pos="pos"), known, ["region"], "time"
+    )
+    # The means of the grid, without building it twice: only rows on a step count.
+    off = F.unix_micros(F.col("time").cast("timestamp")) - F.unix_micros(_time(start).cast("timestamp"))
+    means = known.filter(off % (STEP_SECONDS * 1_000_000) == 0).groupBy("region").agg(
         F.avg("load").alias("_mean_load"), F.avg("temperature").alias("_mean_temperature")
     )
     reach = {f"_load_{n}": n for n in {*LOAD_LAGS, *(n + DAY_ROWS for n in LOAD_LAGS), DAY_ROWS}}

@@ -45,7 +45,7 @@ def machine_features(
     """Rolling features, days since the last repair of each component, machine data."""
     rolled = rolling_features(telemetry, errors)
     repairs = maint.select(KEY, F.col(TIME).alias("_repaired"), "comp")
-    aged = days_since_last(rolled, repairs, KEY, TIME, "_repaired", "comp", COMPONENTS, chained=chained)
+    aged = days_since_last(rolled, repairs, KEY, TIME, "_repaired", "comp", COMPONENTS, chained=chained, days_of=telemetry)
     filled = aged.withColumns({f"sincelast{c}": F.coalesce(f"sincelast{c}", F.lit(0)) for c in COMPONENTS})
     return filled.join(machines, KEY, "left")
 

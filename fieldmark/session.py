@@ -52,6 +52,17 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write `df` as a table below the shared folder and read it back.
+
+    For a stage that several later steps read: it is computed once, later plans
+    are short, and column pruning and filters reach the stored files.
+    """
+    path = work_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably, so a lost executor does not change its rows."""
     spark = df.sparkSession
