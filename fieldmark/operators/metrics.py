@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.functions.numbers import safe_divide
 from fieldmark.operators.ordered import last_known, over_blocks, running_sums, sort_cells
+from fieldmark.session import measured
 
 # Fixed value: half width of the 95 % band in standard deviations.
 BAND_95 = 1.96
@@ -153,7 +154,7 @@ def regression_metrics(df: DataFrame, observed: str, predicted: str, keys: Seque
     """MAE, RMSE, relative absolute and squared error, and R2 on complete rows."""
     known = df.filter(F.col(observed).isNotNull() & F.col(predicted).isNotNull())
     mean = known.groupBy(*keys).agg(F.avg(observed).alias("_mean"))
-    based = known.join(mean, list(keys), "left") if keys else known.withColumn("_mean", mean.scalar())
+    based = known.join(measured(mean), list(keys), "left") if keys else known.withColumn("_mean", mean.scalar())
     error = F.col(observed) - F.col(predicted)
     spread = F.col(observed) - F.col("_mean")
     sums = based.groupBy(*keys).agg(
@@ -286,7 +287,7 @@ def residual_acf(
     df: DataFrame, keys: Sequence[str], pos: str, error: str, lags: int = 10
 ) -> DataFrame:
     """Autocorrelation of the errors at lag 1..lags per series."""
-    means = df.groupBy(*keys).agg(F.avg(error).alias("_mean"))
+    means = measured(df.groupBy(*keys).agg(F.avg(error).alias("_mean")))
     centred = df.select(*keys, pos, error).join(means, list(keys), "inner")
     centred = centred.select(*keys, pos, (F.col(error) - F.col("_mean")).alias("_d"))
     lagged = over_blocks(
@@ -322,7 +323,7 @@ def exact_quantiles(
     ordered = sort_cells(counts, [*keys, value], "_sorted")
     running = running_sums(ordered, keys, [value], F.col("_sorted"), {"_upto": F.col("_n")})
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    ranked = running.join(sizes, keys, "inner") if keys else running.withColumn("_size", sizes.scalar())
+    ranked = running.join(measured(sizes), keys, "inner") if keys else running.withColumn("_size", sizes.scalar())
     first = F.col("_upto") - F.col("_n")
 
     def at(rank: Column) -> Column:
@@ -346,7 +347,7 @@ def metric_outliers(
 ) -> DataFrame:
     """Rows outside the whiskers of their group's box plot."""
     quartiles = exact_quantiles(metrics, keys, metric, {"_q1": 0.25, "_q3": 0.75})
-    joined = metrics.join(quartiles, list(keys), "inner")
+    joined = metrics.join(measured(quartiles), list(keys), "inner")
     reach = (F.col("_q3") - F.col("_q1")) * WHISKER
     outside = (F.col(metric) < F.col("_q1") - reach) | (F.col(metric) > F.col("_q3") + reach)
     return joined.filter(outside).drop("_q1", "_q3")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.functions.numbers import factor_index, outer_product
 from fieldmark.operators.ordered import sorted_positions
+from fieldmark.session import measured
 
 
 def filter_range(df: DataFrame, time: str, start, end, equal: Mapping[str, object] | None = None) -> DataFrame:
@@ -38,7 +39,7 @@ def fill_mean(df: DataFrame, keys: Sequence[str], value: str, known: Column | No
     and not from a window over the whole series.
     """
     source = F.col(value) if known is None else F.when(known, F.col(value))
-    means = df.groupBy(*keys).agg(F.avg(source).alias("_mean"))
+    means = measured(df.groupBy(*keys).agg(F.avg(source).alias("_mean")))
     return (
         df.join(means, list(keys), "left")
         .withColumn(value, F.coalesce(F.col(value).cast("double"), F.col("_mean")))

@@ -18,6 +18,7 @@ from fieldmark.operators.ordered import (
     positions,
     sorted_positions,
 )
+from fieldmark.session import measured
 
 
 def lag_interval(
@@ -109,7 +110,7 @@ def fill_from_lag(
     A value filled in is not used for later rows.
     """
     exprs = {f"_lag_{c}": lambda w, c=c: F.lag(c, lag).over(w) for c in columns}
-    means = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
+    means = measured(df.groupBy(*keys).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns]))
     lagged = over_blocks(df, keys, pos, exprs, before=lag).join(means, list(keys), "left")
     filled = {c: F.coalesce(c, f"_lag_{c}", f"_mean_{c}") for c in columns}
     return lagged.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
@@ -161,7 +162,7 @@ def rul_label(
     if truth is not None:
         ends = ends.join(truth.select(key, F.col(truth_column).alias("_left")), key, "left")
         ends = ends.withColumn("_end", F.col("_end") + F.col("_left")).drop("_left")
-    out = df.join(ends, key, "left").withColumn("RUL", F.col("_end") - F.col(cycle)).drop("_end")
+    out = df.join(measured(ends), key, "left").withColumn("RUL", F.col("_end") - F.col(cycle)).drop("_end")
     label1 = F.when(F.col("RUL") <= near, 1).otherwise(0)
     return out.withColumns({"label1": label1, "label2": F.when(F.col("RUL") <= very_near, 2).otherwise(label1)})
 
@@ -251,9 +252,7 @@ def test_lags(
     Unknown training values are filled by the training mean first.  The last
     values are picked by position in one aggregate, so no series is sorted.
     """
-    ends = train.groupBy(*keys).agg(
-        F.max(pos).alias("_end"), F.avg(value).alias("_mean")
-    )
+    ends = measured(train.groupBy(*keys).agg(F.max(pos).alias("_end"), F.avg(value).alias("_mean")))
     placed = train.select(*keys, pos, value).join(ends, list(keys), "left")
     picked = placed.filter(F.col(pos) > F.col("_end") - lags).groupBy(*keys).agg(
         F.max("_end").alias("_end"),

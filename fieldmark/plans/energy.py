@@ -15,6 +15,7 @@ from fieldmark.functions.calendar import daily_fourier, day_hour_columns, hour_s
 from fieldmark.models.train import train_forest
 from fieldmark.operators.joins import merge_upsert, spine_join, time_grid
 from fieldmark.operators.ordered import over_blocks
+from fieldmark.session import measured
 
 # The grid, the lags in grid rows, and the rows of a day.
 STEP_SECONDS = 900
@@ -74,8 +75,11 @@ def energy_features(
     )
     # The means of the grid, without building it twice: only rows on a step count.
     off = F.unix_micros(F.col("time").cast("timestamp")) - F.unix_micros(_time(start).cast("timestamp"))
-    means = known.filter(off % (STEP_SECONDS * 1_000_000) == 0).groupBy("region").agg(
-        F.avg("load").alias("_mean_load"), F.avg("temperature").alias("_mean_temperature")
+    on_step = known.filter(off % (STEP_SECONDS * 1_000_000) == 0)
+    means = measured(
+        on_step.groupBy("region").agg(
+            F.avg("load").alias("_mean_load"), F.avg("temperature").alias("_mean_temperature")
+        )
     )
     reach = {f"_load_{n}": n for n in {*LOAD_LAGS, *(n + DAY_ROWS for n in LOAD_LAGS), DAY_ROWS}}
     exprs = {name: lambda w, n=n: F.lag("load", n).over(w) for name, n in reach.items()}

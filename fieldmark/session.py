@@ -63,6 +63,18 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured(aggregate: DataFrame) -> DataFrame:
+    """Store an aggregate, so that Spark knows its real size when it is joined.
+
+    One row per series may be four rows or a billion.  Stored, it is broadcast
+    if it is below `spark.sql.autoBroadcastJoinThreshold`, and the large side is
+    not shuffled at all; above that the join is shuffled and skew is split at
+    run time.  An aggregate that is only planned counts as large as its input,
+    so the large side would be shuffled by a few hot keys in any case.
+    """
+    return stored(aggregate, "aggregate")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Materialise `df` reliably, so a lost executor does not change its rows."""
     spark = df.sparkSession
