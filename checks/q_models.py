@@ -47,6 +47,85 @@ def train_logistic(t: Tables):
     return score.score_model(model, test, ["cust_id", "response"])
 
 
+LINE = """line AS (SELECT regr_slope(max_purch, num_purch) AS slope, regr_intercept(max_purch, num_purch) AS base FROM campaign)"""
+
+
+def line(t: Tables):
+    return train.train_linear(t.campaign, ["num_purch"], "max_purch")
+
+
+@query("train_linear_line", f"WITH {LINE} SELECT round(slope, 2) AS slope, round(base, 2) AS base FROM line", "campaign")
+def train_linear_line(t: Tables):
+    """The coefficients of a straight line, which SQL has as well."""
+    fitted = line(t).stages[-1]
+    # One row of coefficients, read off the model that was fitted on the table.
+    both = t.campaign.agg(F.lit(float(fitted.coefficients[0])).alias("slope"), F.lit(float(fitted.intercept)).alias("base"))
+    return both.select(r6("slope", 2).alias("slope"), r6("base", 2).alias("base"))
+
+
+@query(
+    "score_model_line",
+    f"WITH {LINE} SELECT cust_id, round(base + slope * num_purch, 2) AS score FROM campaign, line",
+    "campaign",
+)
+def score_model_line(t: Tables):
+    return score.score_model(line(t), t.campaign, ["cust_id"]).withColumn("score", r6("score", 2))
+
+
+def halves(t: Tables):
+    """Orders with one yes/no feature, a yes/no label and a whole-number label."""
+    return t.orders.select(
+        "o_orderkey",
+        (F.month("o_orderdate") <= 6).cast("double").alias("early"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("done"),
+        F.length("o_orderpriority").alias("letters"),
+    )
+
+
+HALVES = """halves AS (SELECT o_orderkey, CASE WHEN month(o_orderdate) <= 6 THEN 1.0::DOUBLE ELSE 0 END AS early,
+  CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS done, length(o_orderpriority) AS letters FROM orders),
+  means AS (SELECT early, avg(done) AS p, avg(letters) AS m FROM halves GROUP BY 1)"""
+
+
+@query(
+    "train_logistic_shares",
+    f"WITH {HALVES} SELECT o_orderkey, round(p, 4) AS score FROM halves JOIN means USING (early)",
+)
+def train_logistic_shares(t: Tables):
+    """With one yes/no feature the fitted probabilities are the shares."""
+    model = train.train_logistic(halves(t), ["early"], "done", tol=1e-10)
+    return score.score_model(model, halves(t), ["o_orderkey"]).withColumn("score", r6("score", 4))
+
+
+@query(
+    "train_poisson_means",
+    f"WITH {HALVES} SELECT o_orderkey, round(m, 4) AS score FROM halves JOIN means USING (early)",
+)
+def train_poisson_means(t: Tables):
+    model = train.train_poisson(halves(t), ["early"], "letters", tol=1e-10)
+    return score.score_model(model, halves(t), ["o_orderkey"], class_index=None).withColumn("score", r6("score", 4))
+
+
+@query(
+    "train_tree_means",
+    f"WITH {HALVES} SELECT o_orderkey, round(m, 6) AS score FROM halves JOIN means USING (early)",
+)
+def train_tree_means(t: Tables):
+    """One cut of a yes/no feature predicts the mean of each half."""
+    model = train.train_tree(halves(t), ["early"], "letters", classify=False, depth=1)
+    return score.score_model(model, halves(t), ["o_orderkey"], class_index=None).withColumn("score", r6("score"))
+
+
+@query(
+    "train_boosted_means",
+    f"WITH {HALVES} SELECT o_orderkey, round(m, 6) AS score FROM halves JOIN means USING (early)",
+)
+def train_boosted_means(t: Tables):
+    """The first tree finds both means, and the later ones find nothing left."""
+    model = train.train_boosted(halves(t), ["early"], "letters", "gaussian", trees=3, depth=1)
+    return score.score_model(model, halves(t), ["o_orderkey"], class_index=None).withColumn("score", r6("score"))
+
+
 @query("train_multinomial")
 def train_multinomial(t: Tables):
     model = train.train_multinomial(cycles(t), SENSORS, "label2", maxIter=20)

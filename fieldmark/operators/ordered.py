@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from fieldmark.session import checkpointed
+from fieldmark.session import stored
 
 BLOCK_ROWS = 8192
 
@@ -43,10 +43,10 @@ def sort_cells(df: DataFrame, order: Sequence[Column | str], cell: str = "_cell"
     """Range-partition by `order` and note each row's partition as its cell.
 
     Spark samples the order columns, so cells are even whatever the skew, as
-    long as the order is close to unique.  The rows are checkpointed: the cell
-    numbers must not change when a lost task is run again.
+    long as the order is close to unique.  The rows are stored: the cell numbers
+    must not change when a lost task is run again.
     """
-    return checkpointed(df.orderBy(*order).withColumn(cell, F.spark_partition_id()))
+    return stored(df.orderBy(*order).withColumn(cell, F.spark_partition_id()), "sorted")
 
 
 def _cell_window(keys: Sequence[str], cell: str) -> WindowSpec:

@@ -55,8 +55,10 @@ def work_folder(spark: SparkSession, label: str) -> str:
 def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` as a table below the shared folder and read it back.
 
-    For a stage that several later steps read: it is computed once, later plans
-    are short, and column pruning and filters reach the stored files.
+    For a stage that several later steps read, or whose rows must not change when
+    a lost task is run again.  It is computed once, later plans are short, and
+    column pruning and filters reach the stored files.  The folder keeps it until
+    it is cleaned, as it does with checkpoints.
     """
     path = work_folder(df.sparkSession, label)
     df.write.parquet(path)
@@ -73,11 +75,3 @@ def measured(aggregate: DataFrame) -> DataFrame:
     so the large side would be shuffled by a few hot keys in any case.
     """
     return stored(aggregate, "aggregate")
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise `df` reliably, so a lost executor does not change its rows."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
