@@ -9,6 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pandas as pd
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from checks.base import BRANDS, Tables, cents, query, r6
@@ -126,6 +127,82 @@ def train_boosted_means(t: Tables):
     return score.score_model(model, halves(t), ["o_orderkey"], class_index=None).withColumn("score", r6("score"))
 
 
+@query(
+    "train_forest_means",
+    f"WITH {HALVES} SELECT o_orderkey, round(m, 6) AS score FROM halves JOIN means USING (early)",
+)
+def train_forest_means(t: Tables):
+    """Without resampling every tree of the forest finds the same means."""
+    model = train.train_forest(halves(t), ["early"], "letters", False, trees=4, depth=1, bootstrap=False)
+    return score.score_model(model, halves(t), ["o_orderkey"], class_index=None).withColumn("score", r6("score"))
+
+
+@query(
+    "train_multinomial_shares",
+    f"""WITH {HALVES}, kinds AS (SELECT o_orderkey, early, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS kind
+      FROM halves JOIN orders USING (o_orderkey)),
+    shares AS (SELECT early, avg(CASE WHEN kind = 0 THEN 1 ELSE 0 END) AS a, avg(CASE WHEN kind = 1 THEN 1 ELSE 0 END) AS b,
+      avg(CASE WHEN kind = 2 THEN 1 ELSE 0 END) AS c FROM kinds GROUP BY 1)
+    SELECT o_orderkey, round(a, 4) AS probability_0, round(b, 4) AS probability_1, round(c, 4) AS probability_2 FROM kinds JOIN shares USING (early)""",
+)
+def train_multinomial_shares(t: Tables):
+    kind = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    data = halves(t).join(t.orders.select("o_orderkey", kind.alias("kind")), "o_orderkey")
+    model = train.train_multinomial(data, ["early"], "kind", tol=1e-10)
+    out = score.score_classes(model, data, ["o_orderkey"], [0, 1, 2])
+    return out.select("o_orderkey", *[r6(f"probability_{i}", 4).alias(f"probability_{i}") for i in range(3)])
+
+
+@query(
+    "score_threshold_shares",
+    f"WITH {HALVES} SELECT o_orderkey, round(p, 4) AS score FROM halves JOIN means USING (early) WHERE p >= (SELECT avg(p) FROM means)",
+)
+def score_threshold_shares(t: Tables):
+    """Rows of the half with the larger share."""
+    model = train.train_logistic(halves(t), ["early"], "done", tol=1e-10)
+    scored = score.score_model(model, halves(t), ["o_orderkey"])
+    middle = (scored.agg(F.max("score").alias("m")).scalar() + scored.agg(F.min("score").alias("m")).scalar()) / 2
+    return score.score_threshold(scored, "score", middle).withColumn("score", r6("score", 4))
+
+
+@query(
+    "formula_interaction_cells",
+    """WITH cells AS (SELECT Origin, DayOfWeek, avg(ArrDelay) AS mean FROM flights GROUP BY 1, 2)
+    SELECT Origin, DayOfWeek, round(mean, 4) AS predicted FROM cells""",
+    "flights",
+)
+def formula_interaction_cells(t: Tables):
+    """A model of a full factor cross alone predicts the mean of each cell."""
+    data = t.flights.withColumn("DayOfWeek", F.col("DayOfWeek").cast("string"))
+    model = train.train_formula(data, "ArrDelay ~ Origin:DayOfWeek", LinearRegression(fitIntercept=False))
+    out = model.transform(data).groupBy("Origin", "DayOfWeek").agg(F.avg("prediction").alias("predicted"))
+    return out.select("Origin", F.col("DayOfWeek").cast("int").alias("DayOfWeek"), r6("predicted", 4).alias("predicted"))
+
+
+PAIR = """pair AS (SELECT cust_id, avg(b1) OVER (PARTITION BY b2) AS b1, avg(b2) OVER (PARTITION BY b1) AS b2 FROM purchases)"""
+
+
+@query(
+    "one_model_per_target_pair",
+    f"WITH {PAIR} SELECT cust_id, round(b1, 4) AS b1, round(b2, 4) AS b2 FROM pair",
+    "purchases",
+)
+def one_model_per_target_pair(t: Tables):
+    """With two products each model gives the share among equal buyers of the other."""
+    models = train.one_model_per_target(t.purchases, ["b1", "b2"], tol=1e-10)
+    out = score.predictions_by_target(models, t.purchases, ["cust_id"])
+    return out.withColumns({"b1": r6("b1", 4), "b2": r6("b2", 4)})
+
+
+@query(
+    "recommendations_pair",
+    f"WITH {PAIR} SELECT cust_id, CASE WHEN b1 >= b2 THEN 'b1' ELSE 'b2' END AS Product1, CASE WHEN b1 >= b2 THEN 'b2' ELSE 'b1' END AS Product2 FROM pair",
+    "purchases",
+)
+def recommendations_pair(t: Tables):
+    return crosssell.recommendations(t.purchases, "cust_id", ["b1", "b2"], tol=1e-10)
+
+
 @query("train_multinomial")
 def train_multinomial(t: Tables):
     model = train.train_multinomial(cycles(t), SENSORS, "label2", maxIter=20)
@@ -228,23 +305,38 @@ def interaction_model(t: Tables):
     return matching.match_project(model, t.resumes, project, 0.0, products=True)
 
 
-@query("score_stats")
+@query(
+    "score_stats",
+    f"""WITH {LINE} SELECT 'all' AS group_id, count(*) AS rows, sum(CASE WHEN base + slope * num_purch >= 4e7 THEN 1 ELSE 0 END)::BIGINT AS matches,
+    0.0::DOUBLE AS started, 2.0::DOUBLE AS ended, 2.0::DOUBLE AS duration, count(*) / 2.0::DOUBLE AS rate FROM campaign, line""",
+    "campaign",
+)
 def score_stats(t: Tables):
-    model = train.train_logistic(t.campaign, HISTORY, "response")
-    scored = score.score_model(model, t.campaign, ["cust_id"])
+    scored = score.score_model(line(t), t.campaign, ["cust_id"])
     base = work_folder(t.spark, "stats")
     ticks = iter((0.0, 2.0))
-    return score.score_stats(scored, f"{base}/out", f"{base}/stats", "all", F.col("score") >= 0.5, clock=lambda: next(ticks))
+    return score.score_stats(scored, f"{base}/out", f"{base}/stats", "all", F.col("score") >= 4e7, clock=lambda: next(ticks))
 
 
-@query("batch_score")
+@query(
+    "batch_score",
+    """WITH f AS (SELECT *, trunc(CRSDepTime) AS h FROM flights), l AS (SELECT regr_slope(ArrDelay, h) AS s, regr_intercept(ArrDelay, h) AS b FROM f)
+    SELECT Origin, Dest, round(b + s * h, 5) AS score FROM f, l""",
+    "flights",
+)
 def batch_score(t: Tables):
     data = flights.with_late(t.flights)
-    model = train.train_linear(data, ["CRSDepHour", "DayOfWeek"], "ArrDelay")
-    return score.batch_score(model, data, ["Origin", "Dest"], work_folder(t.spark, "scores"))
+    model = train.train_linear(data, ["CRSDepHour"], "ArrDelay")
+    stored = score.batch_score(model, data, ["Origin", "Dest"], work_folder(t.spark, "scores"))
+    return stored.withColumn("score", r6("score", 5))
 
 
-@query("save_model")
+@query(
+    "save_model",
+    "SELECT 'response' AS id, v AS version, CASE v WHEN 1 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-02-01' END AS created "
+    "FROM (SELECT unnest([1.0::DOUBLE, 2.0]) AS v) WHERE EXISTS (SELECT 1 FROM campaign)",
+    "campaign",
+)
 def save_model(t: Tables):
     folder = work_folder(t.spark, "registry")
     model, area = campaign.response_model(t.campaign, "cust_id", HISTORY)
@@ -253,13 +345,16 @@ def save_model(t: Tables):
     return registry.models(t.spark, folder).select("id", "version", "created")
 
 
-@query("load_model")
+@query(
+    "load_model",
+    f"WITH {LINE} SELECT cust_id, round(base + slope * num_purch, 2) AS score FROM campaign, line",
+    "campaign",
+)
 def load_model(t: Tables):
     folder = work_folder(t.spark, "registry")
-    model = train.train_logistic(t.campaign, HISTORY, "response")
-    registry.save_model(model, t.spark, folder, "response", 1.0, CREATED)
+    registry.save_model(line(t), t.spark, folder, "response", 1.0, CREATED)
     loaded = registry.load_model(t.spark, folder, "response")
-    return score.score_model(loaded, t.campaign, ["cust_id"])
+    return score.score_model(loaded, t.campaign, ["cust_id"]).withColumn("score", r6("score", 2))
 
 
 DETAILS_SQL = """SELECT c_mktsegment AS id, 'Spark ML' AS language, 'Linear' AS type, CAST(year(o_orderdate) - 1990 AS DOUBLE) AS version,

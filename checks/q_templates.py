@@ -194,6 +194,22 @@ def stream_upsert(t: Tables):
     return t.spark.read.schema("user_id BIGINT, hour TIMESTAMP_NTZ, event_type STRING, value DOUBLE, event_id BIGINT, day STRING").parquet(f"{base}/table")
 
 
+@query(
+    "score_on_arrival_shares",
+    """WITH e AS (SELECT event_id, hour(ts) < 12 AS early, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label FROM events)
+    SELECT event_id, round(avg(label) OVER (PARTITION BY early), 4) AS score FROM e""",
+)
+def score_on_arrival_shares(t: Tables):
+    """With one yes/no feature the score of an event is the share of errors in its half of the day."""
+    base = work_folder(t.spark, "arrival")
+    early = (F.hour("ts") < 12).cast("double").alias("early")
+    known = t.events.select(early, (F.col("event_type") == "error").cast("int").alias("label"))
+    model = train.train_logistic(known, ["early"], "label", tol=1e-10)
+    stream = event_stream(t).select("event_id", early)
+    arrivals.score_on_arrival(stream, lambda: model, ["event_id"], f"{base}/scores", f"{base}/state").awaitTermination()
+    return t.spark.read.parquet(f"{base}/scores").select("event_id", r6("score", 4).alias("score"))
+
+
 @query("score_on_arrival")
 def score_on_arrival(t: Tables):
     base = work_folder(t.spark, "arrival")
