@@ -294,9 +294,10 @@ def metric_outliers(t: Tables):
 
 @query(
     "exact_quantiles",
-    """SELECT event_type, quantile_cont(round(value * 100), 0.1) AS p10, quantile_cont(round(value * 100), 0.5) AS p50,
-    quantile_cont(round(value * 100), 0.9) AS p90 FROM events GROUP BY 1""",
+    """SELECT event_type, round(quantile_cont(round(value * 100), 0.1), 6) AS p10, round(quantile_cont(round(value * 100), 0.5), 6) AS p50,
+    round(quantile_cont(round(value * 100), 0.9), 6) AS p90 FROM events GROUP BY 1""",
 )
 def exact_quantiles(t: Tables):
     values = t.events.select("event_type", cents("value").alias("v"))
-    return m.exact_quantiles(values, ["event_type"], "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+    out = m.exact_quantiles(values, ["event_type"], "v", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+    return out.withColumns({c: r6(c) for c in ("p10", "p50", "p90")})

@@ -218,15 +218,9 @@ def time_grid(
     `pos` names the step number, which is the position in the series: ordered
     work on a grid needs no ranking.
     """
-    # The day-time difference between two timestamps, as whole steps.
-    steps = F.floor(
-        (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp")))
-        / F.lit(step_seconds * 1_000_000)
-    )
-    out = keys_frame.select("*", start.alias("_start"), F.explode(F.sequence(F.lit(0).cast("bigint"), steps)).alias("_step"))
-    step = F.make_dt_interval(secs=F.col("_step") * F.lit(step_seconds))
-    out = out.withColumn(time, (F.col("_start") + step).cast("timestamp_ntz")).drop("_start")
-    return out.withColumnRenamed("_step", pos) if pos else out.drop("_step")
+    steps = F.sequence(start, end, F.make_dt_interval(secs=F.lit(step_seconds)))
+    placed = keys_frame.select("*", F.posexplode(steps).alias("_step", time))
+    return placed.withColumnRenamed("_step", pos) if pos else placed.drop("_step")
 
 
 def time_span(data: DataFrame, time: str) -> tuple[Column, Column]:
