@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.functions.calendar import hour_start, time_floor, week_start
 from fieldmark.operators.ordered import clock_cell, positions
+from fieldmark.session import measured
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -212,8 +213,15 @@ class Tables:
     @cached_property
     def projects(self) -> DataFrame:
         """One project per label: the topics of its first vector."""
-        return self.embeddings.groupBy(F.col("label").alias("ProjectId")).agg(
-            F.min_by("embedding", "vec_id").cast("array<double>").alias("pt")
+        first = F.min_by("embedding", "vec_id").cast("array<double>").alias("pt")
+        return measured(self.embeddings.groupBy(F.col("label").alias("ProjectId")).agg(first))
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        """Labelled fact: each person with each of the ten project numbers."""
+        number = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("ProjectId")
+        return self.resumes.select("PersonId", "label", number).select(
+            "PersonId", "ProjectId", (F.col("label") == F.col("ProjectId")).cast("int").alias("match")
         )
 
     @cached_property

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from checks.base import BRANDS, Tables, cents, query, r6
 from checks.q_aggregates import campaign_performance
 from fieldmark.models import registry, score, train
+from fieldmark.operators.joins import star_join
 from fieldmark.operators.metrics import binary_metrics, regression_metrics
 from fieldmark.operators.reshape import best_by_rmse, bind_metrics
 from fieldmark.operators.splits import disjoint_folds, repeatable_split
@@ -283,11 +284,10 @@ def score_model(t: Tables):
 
 
 def pairs(t: Tables):
-    """Every person with every project, labelled by whether their topics agree."""
-    ids = t.projects.agg(F.collect_list("ProjectId").alias("ids")).scalar()
-    exploded = t.resumes.select("PersonId", "rt", "label", F.explode(ids).alias("ProjectId"))
-    joined = exploded.join(t.projects, "ProjectId")
-    return joined.select("PersonId", "ProjectId", "rt", "pt", (F.col("label") == F.col("ProjectId")).cast("int").alias("label"))
+    """Feature arrays of the labelled pairs."""
+    people = t.resumes.select("PersonId", "rt")
+    star = star_join(t.pairs, [(people, ["PersonId"]), (t.projects, ["ProjectId"])])
+    return star.select("PersonId", "ProjectId", "rt", "pt", F.col("match").alias("label"))
 
 
 @query("score_threshold")

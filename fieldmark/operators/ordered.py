@@ -65,7 +65,8 @@ def positions(
     """0-based position of each row in its series, and the series length.
 
     `cell` must not decrease along `order`.  Counts per cell are summed on the
-    map side; only they are ordered per series.
+    map side; only they are ordered per series.  `df` is read twice, for the
+    counts and for the rows, so store it first if it is costly to compute.
     """
     keys = list(keys)
     celled = df.withColumn("__cell", cell)

@@ -267,3 +267,11 @@ def test_best_offset(frame):
     idx = frame([(i, v) for i, v in enumerate(index)], "ipos BIGINT, iv DOUBLE")
     row = windows.best_index_lag(series, idx, ["k"], "pos", "v", "ipos", "iv", 6).first()
     assert row["offset"] == 3 and row["correlation"] == pytest.approx(1.0)
+
+
+def test_samples_by_both_ways_agree(spark, monkeypatch):
+    df = spark.range(500)
+    small = [rows_of(part) for part in splits.sample_n(df, "id", 40, 20)]
+    monkeypatch.setattr(splits, "ONE_TASK_ROWS", 0)
+    assert [rows_of(part) for part in splits.sample_n(df, "id", 40, 20)] == small
+    assert [len(part) for part in small] == [40, 20]
