@@ -220,7 +220,9 @@ def time_grid(
     """
     steps = F.sequence(start, end, F.make_dt_interval(secs=F.lit(step_seconds)))
     placed = keys_frame.select("*", F.posexplode(steps).alias("_step", time))
-    return placed.withColumnRenamed("_step", pos) if pos else placed.drop("_step")
+    if pos:
+        placed = placed.withColumn(pos, F.col("_step").cast("bigint"))
+    return placed.drop("_step")
 
 
 def time_span(data: DataFrame, time: str) -> tuple[Column, Column]:

@@ -180,17 +180,25 @@ def over_blocks(
     only the rows at home in a block are kept.
     """
     rows = max(rows, before, after, 1)
-    home = F.floor(F.col(pos) / F.lit(rows))
+    home = F.call_function("div", F.col(pos), F.lit(rows))
     offset = F.pmod(F.col(pos), F.lit(rows))
-    stays = [home]
-    if before:
-        stays.append(F.when(offset >= rows - before, home + 1))
-    if after:
-        stays.append(F.when(offset < after, home - 1))
-    block = F.explode_outer(F.array_compact(F.array(*stays))) if len(stays) > 1 else home
-    spread = df.withColumn("_home", home).withColumn("_block", block)
+    near_end, near_start = offset >= rows - before, offset < after
+    stays = F.array(home)
+    if before and after:
+        stays = (
+            F.when(near_end & near_start, F.array(home - 1, home, home + 1))
+            .when(near_end, F.array(home, home + 1))
+            .when(near_start, F.array(home - 1, home))
+            .otherwise(stays)
+        )
+    elif before:
+        stays = F.when(near_end, F.array(home, home + 1)).otherwise(stays)
+    elif after:
+        stays = F.when(near_start, F.array(home - 1, home)).otherwise(stays)
+    copied = before or after
+    spread = df.withColumn("_home", home).withColumn("_block", F.explode(stays) if copied else home)
     window = Window.partitionBy(*keys, "_block").orderBy(pos)
     out = spread.select("*", *[build(window).alias(name) for name, build in exprs.items()])
-    if len(stays) > 1:
+    if copied:
         out = out.filter(F.col("_block").eqNullSafe(F.col("_home")))
     return out.drop("_home", "_block")
