@@ -41,11 +41,22 @@ SEED = 1234
 DEEPEST = 30
 
 
+def fit_kept(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
+    """Fit while the rows are kept, as a fit passes over them several times."""
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return pipeline.fit(kept)
+    finally:
+        kept.unpersist()
+
+
 def fit(df: DataFrame, features: Sequence[str], label: str, estimator: Estimator, *before: Estimator) -> PipelineModel:
     """Assemble the features and fit; rows with an unknown feature do not train."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    stages = [assembler, *before, estimator]
-    return Pipeline(stages=stages).fit(df.select(*features, label).dropna(subset=[label]))
+    pipeline = Pipeline(stages=[assembler, *before, estimator])
+    rows = df.select(*features, label).dropna(subset=[label])
+    kept_already = df.storageLevel.useMemory or df.storageLevel.useDisk
+    return pipeline.fit(rows) if kept_already else fit_kept(pipeline, rows)
 
 
 def train_linear(df: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
@@ -140,7 +151,7 @@ def train_mlp(
 
 def train_formula(df: DataFrame, formula: str, estimator: Estimator) -> PipelineModel:
     """Fit a formula with factor crosses such as `y ~ a + b:c`."""
-    return Pipeline(stages=[RFormula(formula=formula, handleInvalid="skip"), estimator]).fit(df)
+    return fit_kept(Pipeline(stages=[RFormula(formula=formula, handleInvalid="skip"), estimator]), df)
 
 
 def declared_factor(spark, column: str, levels: Sequence[str]) -> list:

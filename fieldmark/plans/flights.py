@@ -25,6 +25,8 @@ def with_late(flights: DataFrame) -> DataFrame:
 
 def delay_model(flights: DataFrame) -> PipelineModel:
     """ArrDelay by the cross of origin and weekday and the departure hour."""
-    data = with_late(flights).withColumn("DayOfWeek", F.col("DayOfWeek").cast("string"))
+    data = with_late(flights).select(
+        "ArrDelay", "Origin", "CRSDepHour", F.col("DayOfWeek").cast("string").alias("DayOfWeek")
+    )
     estimator = LinearRegression(labelCol="label", featuresCol="features")
     return train_formula(data, "ArrDelay ~ Origin:DayOfWeek + CRSDepHour", estimator)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmark.models.score import score_model, score_threshold
-from fieldmark.models.train import SEED
+from fieldmark.models.train import SEED, fit_kept
 from fieldmark.operators.joins import cross_join_score_input
 from fieldmark.operators.rows import interaction_products
 
@@ -31,7 +31,7 @@ def train_matcher(
 ) -> PipelineModel:
     vectors = pair_vectors(labelled, products).select("features", F.col(label).cast("double").alias(label))
     estimator = GBTClassifier(labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, seed=SEED)
-    return Pipeline(stages=[estimator]).fit(vectors)
+    return fit_kept(Pipeline(stages=[estimator]), vectors)
 
 
 def match_project(
