@@ -460,7 +460,11 @@ def model_views(t: Tables):
     return registry.results_view(usage(t), performance(t))
 
 
-@query("run_log")
+@query(
+    "run_log",
+    """SELECT CAST(step AS INTEGER) AS step, TIMESTAMP '2024-01-01' AS time, 'all' AS region, TIMESTAMP '2024-01-01' AS run_time,
+    CAST(0 AS INTEGER) AS success_flag, '' AS error FROM (SELECT 1 AS step FROM orders UNION SELECT 2 FROM lineitem)""",
+)
 def run_log(t: Tables):
     folder = work_folder(t.spark, "log")
     for step, table in enumerate(("orders", "lineitem"), 1):
@@ -469,39 +473,35 @@ def run_log(t: Tables):
     return registry.runs(t.spark, folder)
 
 
-def _late(frame: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"event_id": frame["event_id"], "hundredths": (frame["value"] * 100).round(), "size": frame["props"].str.len()})
-
-
 @query("table_function", "SELECT event_id, round(value * 100) AS hundredths, length(props)::BIGINT AS size FROM events")
 def table_function(t: Tables):
-    return score.table_function(
-        t.events.select("event_id", "value", "props"), _late, "event_id BIGINT, hundredths DOUBLE, size BIGINT"
-    )
+    def script(frame: pd.DataFrame) -> pd.DataFrame:
+        hundredths, size = (frame["value"] * 100).round(), frame["props"].str.len()
+        return pd.DataFrame({"event_id": frame["event_id"], "hundredths": hundredths, "size": size})
 
-
-def _partial(frame: pd.DataFrame) -> pd.DataFrame:
-    first = frame.iloc[0]
-    return pd.DataFrame(
-        {"id1": [first["id1"]], "id2": [first["id2"]], "n": [len(frame)], "total": [frame["value"].sum()], "top": [frame["value"].max()]}
+    return score.table_function(
+        t.events.select("event_id", "value", "props"), script, "event_id BIGINT, hundredths DOUBLE, size BIGINT"
     )
 
 
-def _finish(frame: pd.DataFrame) -> pd.DataFrame:
-    first = frame.iloc[0]
-    total, n = frame["total"].sum(), frame["n"].sum()
-    return pd.DataFrame({"id1": [first["id1"]], "id2": [first["id2"]], "n": [n], "mean": [total / n], "top": [frame["top"].max()]})
-
-
 @query("group_apply", "SELECT id1, id2, count(*) AS n, avg(value) AS mean, max(value) AS top FROM sales GROUP BY 1, 2", "sales")
 def group_apply(t: Tables):
+    def one_part(frame: pd.DataFrame) -> pd.DataFrame:
+        value = frame["value"]
+        return frame[["id1", "id2"]].head(1).assign(n=len(frame), total=value.sum(), top=value.max())
+
+    def all_parts(frame: pd.DataFrame) -> pd.DataFrame:
+        n = frame["n"].sum()
+        out = frame[["id1", "id2"]].head(1)
+        return out.assign(n=n, mean=frame["total"].sum() / n, top=frame["top"].max())
+
     return score.group_apply(
         t.sales,
         ["id1", "id2"],
-        F.year("time"),
-        _partial,
+        F.floor(F.year("time") / 10),
+        one_part,
         "id1 BIGINT, id2 STRING, n BIGINT, total DOUBLE, top DOUBLE",
-        _finish,
+        all_parts,
         "id1 BIGINT, id2 STRING, n BIGINT, mean DOUBLE, top DOUBLE",
     )
 
