@@ -48,3 +48,23 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
     kept = line_dedup(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.packing import pack_documents
+    from fieldmark.llm.tokenizing import default_path
+
+    packed = pack_documents(table(spark, folder, "documents"), default_path("word_bpe_49k.json"), end_id=1, max_tokens=4096)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.token_files import read_tokens, token_digest, write_tokens
+    from fieldmark.llm.tokenizing import default_path
+    from fieldmark.session import work_folder
+
+    path = work_folder(spark, "tokens")
+    write_tokens(table(spark, folder, "documents"), path, default_path("byte_bpe_50k.json"), end_id=2)
+    return token_digest(read_tokens(spark, path))
