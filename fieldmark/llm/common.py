@@ -2,14 +2,35 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
+import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TEXT_KEY = "__text_key"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's source to the Python workers, as `--py-files` would.
+
+    For operators with Python functions, where the package is not installed on the
+    executors.  Done once per application.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_fieldmark_shipped", False):
+        return
+    top = pathlib.Path(__file__).resolve().parent.parent
+    target = pathlib.Path(tempfile.mkdtemp(prefix="fieldmark-")) / "fieldmark.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    context.addPyFile(str(target))
+    context._fieldmark_shipped = True
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` computed once, however often the body uses it.
 

@@ -7,13 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldmark.llm.common import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, python: bool = False):
+    """Register a query; one with Python functions gives its workers this package."""
+
     def register(function):
-        QUERIES[name] = function
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            if python:
+                ship_package(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql:
             ORACLE[name] = sql.strip()
         return function
@@ -50,7 +59,7 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-@query("op3_best_fit_packing")
+@query("op3_best_fit_packing", python=True)
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     from fieldmark.llm.packing import pack_documents
     from fieldmark.llm.tokenizing import default_path
@@ -59,7 +68,7 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-@query("op6_token_files")
+@query("op6_token_files", python=True)
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     from fieldmark.llm.token_files import read_tokens, token_digest, write_tokens
     from fieldmark.llm.tokenizing import default_path
@@ -68,3 +77,13 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = work_folder(spark, "tokens")
     write_tokens(table(spark, folder, "documents"), path, default_path("byte_bpe_50k.json"), end_id=2)
     return token_digest(read_tokens(spark, path))
+
+
+@query("op5_language_id", python=True)
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.language import held_out, predict_language, train_language
+
+    docs = table(spark, folder, "documents")
+    model = train_language(docs)
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
+    return predict_language(rows, model).select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
