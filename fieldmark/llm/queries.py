@@ -87,3 +87,14 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = train_language(docs)
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     return predict_language(rows, model).select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
+@query("op7_toxicity", python=True)
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.language import held_out
+    from fieldmark.llm.toxicity import score_toxicity, train_toxicity
+
+    docs = table(spark, folder, "documents")
+    machine = train_toxicity(docs, table(spark, folder, "labels"))
+    scored = score_toxicity(docs.select("doc_id", held_out().alias("held_out"), "text"), machine)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
