@@ -98,3 +98,20 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     machine = train_toxicity(docs, table(spark, folder, "labels"))
     scored = score_toxicity(docs.select("doc_id", held_out().alias("held_out"), "text"), machine)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.private import BASE, KINDS, find_private, span_digest
+
+    found = find_private(table(spark, folder, "documents").select("doc_id", "text"))
+    return span_digest(found, KINDS, BASE)
+
+
+@query("op10_credentials")
+def op10_credentials(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.credentials import BASE, KINDS, find_credentials
+    from fieldmark.llm.private import span_digest
+
+    found = find_credentials(table(spark, folder, "documents").select("doc_id", "text"))
+    return span_digest(found, KINDS, BASE)
