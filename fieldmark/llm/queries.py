@@ -115,3 +115,10 @@ def op10_credentials(spark: SparkSession, folder: str) -> DataFrame:
 
     found = find_credentials(table(spark, folder, "documents").select("doc_id", "text"))
     return span_digest(found, KINDS, BASE)
+
+
+@query("op8_near_duplicates", python=True)
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.near_duplicates import near_duplicates
+
+    return near_duplicates(table(spark, folder, "documents"))
