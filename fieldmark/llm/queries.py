@@ -122,3 +122,10 @@ def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     from fieldmark.llm.near_duplicates import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
