@@ -129,3 +129,10 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     from fieldmark.llm.decontaminate import contaminated
 
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op2_fingerprints")
+def op2_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    from fieldmark.llm.fingerprints import fingerprints
+
+    return fingerprints(table(spark, folder, "documents"))
