@@ -33,7 +33,7 @@ def cycles(t: Tables):
 
 
 def quality(model, df, label):
-    return regression_metrics(model.transform(df), label, "prediction")
+    return regression_metrics(train.apply_model(model, df), label, "prediction")
 
 
 @query("train_linear")
@@ -99,6 +99,39 @@ def train_logistic_shares(t: Tables):
     return score.score_model(model, halves(t), ["o_orderkey"]).withColumn("score", r6("score", 4))
 
 
+@query(
+    "score_unknown_features",
+    f"""WITH {HALVES}, every AS (SELECT c_custkey, CASE WHEN o_orderkey IS NOT NULL THEN early END AS early
+      FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS o_orderkey FROM orders GROUP BY 1) f ON c_custkey = o_custkey
+      LEFT JOIN halves USING (o_orderkey))
+    SELECT c_custkey, round(p, 4) AS score FROM every LEFT JOIN means USING (early)""",
+)
+def score_unknown_features(t: Tables):
+    """Every customer gets a row; without orders the feature is unknown and so is the score."""
+    model = train.train_logistic(halves(t), ["early"], "done", tol=1e-10)
+    first = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min("o_orderkey").alias("o_orderkey"))
+    every = t.customer.select("c_custkey").join(first, "c_custkey", "left").join(halves(t), "o_orderkey", "left")
+    return score.score_model(model, every, ["c_custkey"]).withColumn("score", r6("score", 4))
+
+
+@query(
+    "formula_unseen_levels",
+    """WITH cells AS (SELECT Origin, DayOfWeek, avg(ArrDelay) AS mean FROM flights WHERE DayOfWeek <= 5 GROUP BY 1, 2),
+    asked AS (SELECT DISTINCT Origin, DayOfWeek FROM flights)
+    SELECT Origin, DayOfWeek, round(mean, 4) AS predicted FROM asked LEFT JOIN cells USING (Origin, DayOfWeek)""",
+    "flights",
+)
+def formula_unseen_levels(t: Tables):
+    """Days the model has not seen get a row without a prediction."""
+    data = t.flights.withColumn("DayOfWeek", F.col("DayOfWeek").cast("string"))
+    model = train.train_formula(
+        data.filter(F.col("DayOfWeek").cast("int") <= 5), "ArrDelay ~ Origin:DayOfWeek", LinearRegression(fitIntercept=False)
+    )
+    asked = data.select("Origin", "DayOfWeek").distinct()
+    out = score.score_model(model, asked.withColumn("ArrDelay", F.lit(0.0)), ["Origin", "DayOfWeek"], "predicted", None)
+    return out.select("Origin", F.col("DayOfWeek").cast("int").alias("DayOfWeek"), r6("predicted", 4).alias("predicted"))
+
+
 @query(
     "train_poisson_means",
     f"WITH {HALVES} SELECT o_orderkey, round(m, 4) AS score FROM halves JOIN means USING (early)",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.base import CTE, ERRORS, Tables, query, r6
-from checks.q_joins import ERROR_ROWS, GRID15
+from checks.q_joins import HOURLY_ERRORS, GRID15
 from checks.q_sources_rows import SPINE
 from fieldmark.operators import aggregates, joins, ordered, windows
 from fieldmark.operators.rows import fill_mean
@@ -87,9 +87,9 @@ def every_nth_row(t: Tables):
 
 @query(
     "rolling_counts",
-    f"WITH {ERROR_ROWS} SELECT machineID, datetime, "
+    f"WITH {HOURLY_ERRORS} SELECT machineID, datetime, "
     + ", ".join(f"CAST(sum({e}) OVER w AS BIGINT) AS {e}count" for e in ERRORS)
-    + " FROM telemetryerror WINDOW w AS (PARTITION BY machineID ORDER BY datetime ROWS 23 PRECEDING)",
+    + " FROM filled WINDOW w AS (PARTITION BY machineID ORDER BY datetime ROWS 23 PRECEDING)",
     "telemetry errors",
 )
 def rolling_counts(t: Tables):

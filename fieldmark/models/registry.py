@@ -140,7 +140,7 @@ def run_log(
     try:
         yield
     except Exception as error:
-        note(-1, str(error)[:4000])
+        note(-1, str(error))
         raise
     note(0, "")
 

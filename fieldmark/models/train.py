@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -41,6 +42,12 @@ SEED = 1234
 DEEPEST = 30
 
 
+def checked_depth(depth: int) -> int:
+    if depth > DEEPEST:
+        raise ValueError(f"trees are at most {DEEPEST} deep")
+    return depth
+
+
 def fit_kept(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
     """Fit while the rows are kept, as a fit passes over them several times."""
     kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -51,14 +58,34 @@ def fit_kept(pipeline: Pipeline, rows: DataFrame) -> PipelineModel:
 
 
 def fit(df: DataFrame, features: Sequence[str], label: str, estimator: Estimator, *before: Estimator) -> PipelineModel:
-    """Assemble the features and fit; rows with an unknown feature do not train."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    """Assemble the features and fit; rows with an unknown feature do not train.
+
+    The fitted pipeline keeps such rows, and `apply_model` gives them no prediction.
+    """
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     pipeline = Pipeline(stages=[assembler, *before, estimator])
-    rows = df.select(*features, label).dropna(subset=[label])
+    rows = df.select(*features, label).dropna()
     kept_already = df.storageLevel.useMemory or df.storageLevel.useDisk
     return pipeline.fit(rows) if kept_already else fit_kept(pipeline, rows)
 
 
+def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """All rows of `df` with the model's columns; NULL predictions where a feature is unknown.
+
+    For models that assemble columns.  A formula leaves out rows with levels it has not
+    seen: see `score_model`.
+    """
+    assembled = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    unknown = reduce(
+        lambda found, c: found | (F.col(c).isNull() | F.isnan(c) if dict(df.dtypes).get(c) in ("double", "float") else F.col(c).isNull()),
+        [c for c in assembled if c in df.columns],
+        F.lit(False),
+    )
+    scored = model.transform(df)
+    given = [c for c in ("prediction", "probability", "rawPrediction") if c in scored.columns and c not in df.columns]
+    return scored.withColumns({c: F.when(~unknown, F.col(c)) for c in given})
+
+
 def train_linear(df: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
     return fit(df, features, label, LinearRegression(labelCol=label, **params))
 
@@ -80,7 +107,7 @@ def train_tree(
     df: DataFrame, features: Sequence[str], label: str, classify: bool = True, depth: int = 5, **params
 ) -> PipelineModel:
     kind = DecisionTreeClassifier if classify else DecisionTreeRegressor
-    return fit(df, features, label, kind(labelCol=label, maxDepth=min(depth, DEEPEST), seed=SEED, **params))
+    return fit(df, features, label, kind(labelCol=label, maxDepth=checked_depth(depth), seed=SEED, **params))
 
 
 def depth_sweep(
@@ -104,7 +131,7 @@ def train_forest(
     **params,
 ) -> PipelineModel:
     kind = RandomForestClassifier if classify else RandomForestRegressor
-    estimator = kind(labelCol=label, numTrees=trees, maxDepth=min(depth, DEEPEST), seed=SEED, **params)
+    estimator = kind(labelCol=label, numTrees=trees, maxDepth=checked_depth(depth), seed=SEED, **params)
     return fit(df, features, label, estimator)
 
 
@@ -209,9 +236,12 @@ def random_sweep(
     settings: Sequence[Mapping[str, float]],
     train: Callable[[DataFrame, Mapping[str, float]], PipelineModel] | None = None,
     held_out: bool = False,
+    at_once: int = 4,
 ) -> tuple[DataFrame, list[PipelineModel]]:
     """Setting i is trained on fold i and measured there, or on the next fold.
 
+    `at_once` settings are fitted side by side.
+
     Returns the table of settings and errors, and the models.
     """
     if train is None:
@@ -229,12 +259,24 @@ def random_sweep(
 
     count = len(settings)
     kept = folded.select(fold, *features, label).persist(StorageLevel.MEMORY_AND_DISK)
-    models, rows = [], {}
-    for i, setting in enumerate(settings):
+
+    def attempt(i: int) -> tuple[DataFrame, PipelineModel]:
         part = kept.filter(F.col(fold) == i)
-        model = train(part, setting)
-        models.append(model)
+        model = train(part, settings[i])
         tested = kept.filter(F.col(fold) == (i + 1) % count) if held_out else part
-        measured = regression_metrics(model.transform(tested), label, "prediction")
-        rows[str(i)] = measured.withColumns({k: F.lit(v) for k, v in setting.items()})
-    return bind_metrics(rows, "setting"), models
+        found = regression_metrics(apply_model(model, tested), label, "prediction")
+        # One row, computed here: the kept rows are freed at the end.
+        row = df_of_one(found).withColumns({k: F.lit(v) for k, v in settings[i].items()})
+        return row, model
+
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            done = list(pool.map(attempt, range(count)))
+    finally:
+        kept.unpersist()
+    return bind_metrics({str(i): row for i, (row, _) in enumerate(done)}, "setting"), [m for _, m in done]
+
+
+def df_of_one(found: DataFrame) -> DataFrame:
+    """A table of figures as a table of its values; it has a row or a few."""
+    return found.sparkSession.createDataFrame(found.collect(), found.schema)

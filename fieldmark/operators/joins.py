@@ -130,7 +130,9 @@ def days_since_last(
         )
         for k in kinds
     }
-    if chained and len(kinds) == 4:
+    if chained and len(kinds) != 4:
+        raise ValueError("chained values are defined for four kinds")
+    if chained:
         one, two, three, four = kinds
         known = since[one].isNotNull()
         since = {
@@ -265,9 +267,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
         F.count(F.lit(1)).alias("_n"), *[F.any_value(c).alias(f"_new_{c}") for c in given]
     )
     message = F.lit("merge_upsert: two source rows have one key")
-    checked = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_n"))
+    # In a filter, the test stays whatever columns are read later.
+    once = once.filter(F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
     joined = target.withColumn("_old", F.lit(True)).join(once, list(keys), "full")
-    hit = checked.isNotNull()
+    hit = F.col("_n").isNotNull()
     return joined.select(
         *keys,
         *[

@@ -58,9 +58,12 @@ def binary_metrics(df: DataFrame, observed: str, predicted: str, positive=1) ->
 
 
 def _class_counts(df: DataFrame, observed: str, predicted: str, levels: Sequence) -> DataFrame:
-    """One row: hits d*, observed r* and predicted q* per level, and n."""
+    """One row: hits d*, observed r* and predicted q* per level, and n.
+
+    As in the confusion matrix, only rows with two declared levels count.
+    """
     o, p = F.col(observed), F.col(predicted)
-    known = df.filter(o.isNotNull() & p.isNotNull())
+    known = df.filter(o.isin(list(levels)) & p.isin(list(levels)))
     aggs = [F.count(F.lit(1)).alias("n")]
     for i, level in enumerate(levels):
         aggs += [
@@ -170,8 +173,10 @@ def roc_points(df: DataFrame, label: str, score: str, points: int = 100) -> Data
     """False and true positive rate at the cut-offs 0, 1/points, .., 1.
 
     A row passes a cut-off if its score is not below it.  Rows are reduced to
-    `points`+1 buckets before anything is ordered.
+    `points`+1 buckets before anything is ordered.  Rows without a score or a label
+    do not count.
     """
+    df = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     bucket = F.least(F.greatest(F.floor(F.col(score) * points), F.lit(0)), F.lit(points))
     counts = df.groupBy(bucket.alias("bucket")).agg(
         F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmark.functions.numbers import hash_order, hash_percent
 from fieldmark.operators.ordered import positions
 
-# A sample up to this many rows may pass through one task.
-ONE_TASK_ROWS = 100_000
-
 
 def repeatable_split(df: DataFrame, key: str, percent: int = 70) -> tuple[DataFrame, DataFrame]:
     """(train, test) by the hash of the key; no shuffle, no stored sample."""
@@ -80,18 +77,12 @@ def downsample(df: DataFrame, keys: Sequence[str], key: str, ratio: float) -> Da
 
 
 def sample_n(df: DataFrame, key: str, train_rows: int, test_rows: int) -> tuple[DataFrame, DataFrame]:
-    """n training rows and m other rows to test on.
+    """n training rows and m other rows to test on: the first by hash rank.
 
-    A small sample is a top-n by hash: each task keeps n + m rows and nothing
-    else moves.  A large one is cut by rank, so that no task holds all of it.
+    Ranks are taken within hash cells, so that no task holds a whole sample.
     """
     wanted = train_rows + test_rows
-    if wanted <= ONE_TASK_ROWS:
-        hashed = df.withColumn("_hash", hash_order(F.col(key)))
-        top = hashed.orderBy("_hash", key).limit(wanted)
-        ranked = top.withColumn("_rank", F.row_number().over(Window.orderBy("_hash", key)) - 1).drop("_hash")
-    else:
-        ranked = with_hash_rank(df, key).drop("_size")
+    ranked = with_hash_rank(df, key).drop("_size")
     rank = F.col("_rank")
     return (
         ranked.filter(rank < train_rows).drop("_rank"),

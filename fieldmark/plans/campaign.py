@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldmark.models.train import train_linear
+from fieldmark.models.train import apply_model, train_linear
 from fieldmark.operators.metrics import auc
 from fieldmark.operators.splits import stratified_split
 
@@ -19,5 +19,5 @@ def response_model(
     """Model trained on a stratified share and its area under the curve on the rest."""
     training, testing = stratified_split(data, key, label, share)
     model = train(training, features, label)
-    scored = model.transform(testing)
+    scored = apply_model(model, testing)
     return model, auc(scored.select(label, F.col("prediction").alias("score")), label, "score").first()["auc"]

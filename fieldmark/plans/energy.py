@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldmark.functions.calendar import daily_fourier, day_hour_columns, hour_start
-from fieldmark.models.train import train_forest
+from fieldmark.models.train import apply_model, train_forest
 from fieldmark.operators.joins import merge_upsert, spine_join, time_grid
 from fieldmark.operators.ordered import over_blocks
 from fieldmark.session import measured
@@ -114,7 +114,7 @@ def train_demand(features: DataFrame, score_start: datetime, trees: int = 8, dep
 
 def forecast_demand(model: PipelineModel, features: DataFrame, score_start: datetime) -> DataFrame:
     future = features.filter(F.col("time") >= _time(score_start))
-    return model.transform(future).select("time", "region", F.col("prediction").alias("load"))
+    return apply_model(model, future).select("time", "region", F.col("prediction").alias("load"))
 
 
 def rolling_retrain(

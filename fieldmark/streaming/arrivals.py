@@ -34,9 +34,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> Dat
     return best.select(*keys, "_best.*").select(*df.columns)
 
 
-def upsert_partitions(rows: DataFrame, path: str, keys: Sequence[str], partition: str) -> None:
+def upsert_partitions(
+    rows: DataFrame, path: str, keys: Sequence[str], partition: str, newest_by: Sequence[str] = ()
+) -> None:
     """Merge rows into a partitioned table, rewriting only the partitions they touch.
 
+    A new row replaces the stored one of its key, or, with `newest_by`, the newer of
+    the two stays; on a tie it is the larger row, so that the order of batches never shows.
+
     The names of the touched partitions (days of a clock) come to the driver,
     so the others are pruned before any file of theirs is opened.
     """
@@ -47,7 +52,11 @@ def upsert_partitions(rows: DataFrame, path: str, keys: Sequence[str], partition
         if not touched:
             return
         target = _stored(rows, spark, path, partition).filter(F.col(partition).isin(touched))
-        merged = merge_upsert(target, kept, [*keys, *([partition] if partition not in keys else [])])
+        each = [*keys, *([partition] if partition not in keys else [])]
+        if newest_by:
+            merged = latest_per_key(target.unionByName(kept), each, newest_by)
+        else:
+            merged = merge_upsert(target, kept, each)
         (
             merged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -72,11 +81,11 @@ def stream_upsert(
     checkpoint: str,
     once: bool = True,
 ) -> StreamingQuery:
-    """Merge arriving rows; of several rows with one key the newest counts."""
+    """Merge arriving rows; of several rows with one key the newest counts, whenever it came."""
 
     def run(batch: DataFrame, _: int) -> None:
         unique = latest_per_key(batch, [*keys, *([partition] if partition not in keys else [])], newest_by)
-        upsert_partitions(unique, path, keys, partition)
+        upsert_partitions(unique, path, keys, partition, newest_by)
 
     return _start(stream, run, checkpoint, "append", once)
 

@@ -269,9 +269,32 @@ def test_best_offset(frame):
     assert row["offset"] == 3 and row["correlation"] == pytest.approx(1.0)
 
 
-def test_samples_by_both_ways_agree(spark, monkeypatch):
+def test_samples_are_the_first_by_hash(spark):
     df = spark.range(500)
-    small = [rows_of(part) for part in splits.sample_n(df, "id", 40, 20)]
-    monkeypatch.setattr(splits, "ONE_TASK_ROWS", 0)
-    assert [rows_of(part) for part in splits.sample_n(df, "id", 40, 20)] == small
-    assert [len(part) for part in small] == [40, 20]
+    train, test = (rows_of(part) for part in splits.sample_n(df, "id", 40, 20))
+    by_hash = [r[0] for r in df.orderBy(splits.hash_order(F.col("id")), "id").collect()]
+    assert train == sorted((i,) for i in by_hash[:40]) and test == sorted((i,) for i in by_hash[40:60])
+
+
+def test_roc_leaves_out_rows_without_a_score(frame):
+    df = frame([(1, 0.9), (0, 0.6), (0, None), (None, 0.7)], "label INT, score DOUBLE")
+    assert rows_of(metrics.roc_points(df, "label", "score", 2), "threshold", "fpr") == [(0.0, 1.0), (0.5, 1.0), (1.0, 0.0)]
+
+
+def test_undeclared_classes_do_not_count(frame):
+    df = frame([(0, 0), (1, 1), (2, 2), (0, 2)], "o INT, p INT")
+    assert metrics.multiclass_metrics(df, "o", "p", [0, 1]).first()["overall_accuracy"] == 1
+    assert metrics.class_report(df, "o", "p", [0, 1]).first()["accuracy"] == 1
+
+
+def test_upsert_errors_show_in_pruned_plans(frame):
+    target = frame([(1, 1)], "k INT, v INT")
+    double = frame([(1, 2), (1, 3)], "k INT, v INT")
+    with pytest.raises(Exception, match="two source rows"):
+        joins.merge_upsert(target, double, ["k"]).select("k").collect()
+
+
+def test_chained_needs_four_kinds(frame):
+    rows = frame([(1, None)], "k INT, t TIMESTAMP")
+    with pytest.raises(ValueError, match="four kinds"):
+        joins.days_since_last(rows, rows.withColumns({"at": F.col("t"), "c": F.lit("x")}), "k", "t", "at", "c", ["x"], chained=True)
