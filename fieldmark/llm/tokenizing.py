@@ -22,7 +22,8 @@ SLICE_BYTES = 6_000_000
 JOINED = 512
 
 # Between such a letter and such an ASCII sign or digit (apostrophes aside) every pre-tokenizer here cuts.
-LETTER_SIGN = r"([a-zA-Z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([^'\sa-zA-Z\x{00}-\x{1f}\x{7f}-\x{10ffff}])"
+# The capital I with dot is no such letter, as its lower case ends in a mark.
+LETTER_SIGN = r"([a-zA-Z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}])([^'\sa-zA-Z\x{00}-\x{1f}\x{7f}-\x{10ffff}])"
 ODD = (
     r"[ \n]{2}|[\x{01}\t\r\x{0b}\x{0c}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
     r"\x{202f}\x{205f}\x{3000}]|<\|"
