@@ -174,6 +174,11 @@ def string_agg_group(t: Tables):
     return agg.string_agg_group(t.customer, ["c_mktsegment"], "c_nationkey")
 
 
+@query("group_members", "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")
+def group_members(t: Tables):
+    return agg.group_members(t.customer, ["c_nationkey"], "c_mktsegment")
+
+
 @query(
     "last_record_rate",
     """WITH perf AS (SELECT c_mktsegment AS id, date_trunc('month', o_orderdate)::TIMESTAMP AS perf_date,

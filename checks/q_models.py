@@ -310,6 +310,32 @@ def random_sweep(t: Tables):
     return best_by_rmse(table, "rmse", "setting")
 
 
+FOLD = "CAST(('0x' || substr(md5(CAST(cust_id AS VARCHAR)), 1, 8))::BIGINT % 3 AS INTEGER)"
+
+
+@query(
+    "random_sweep_lines",
+    f"""WITH f AS (SELECT {FOLD} AS fold, num_purch AS x, avg_purch AS y FROM campaign),
+    line AS (SELECT fold, regr_slope(y, x) AS s, regr_intercept(y, x) AS b FROM f GROUP BY 1)
+    SELECT CAST(l.fold AS VARCHAR) AS setting, l.fold AS number, round(sqrt(avg((y - b - s * x) ^ 2)), 3) AS rmse, round(avg(abs(y - b - s * x)), 3) AS mae
+    FROM line l JOIN f ON f.fold = (l.fold + 1) % 3 GROUP BY ALL""",
+    "campaign",
+)
+def random_sweep_lines(t: Tables):
+    """A sweep of straight lines, each measured on the next fold, has its errors in SQL."""
+    folded = disjoint_folds(t.campaign, "cust_id", 3)
+    table, _ = train.random_sweep(
+        folded,
+        "fold",
+        ["num_purch"],
+        "avg_purch",
+        [{"number": i} for i in range(3)],
+        train=lambda df, s: train.train_linear(df, ["num_purch"], "avg_purch", solver="normal"),
+        held_out=True,
+    )
+    return table.select("setting", "number", r6("rmse", 3).alias("rmse"), r6("mae", 3).alias("mae"))
+
+
 @query("score_model")
 def score_model(t: Tables):
     model = train.train_linear(cycles(t), SENSORS, "RUL")
@@ -493,6 +519,18 @@ def model_views(t: Tables):
     return registry.results_view(usage(t), performance(t))
 
 
+@query(
+    "model_view",
+    """SELECT c_mktsegment AS id, 1.0::DOUBLE AS version, 'linear' AS model_type, count(*) AS bytes
+    FROM customer GROUP BY 1""",
+)
+def model_view(t: Tables):
+    """Details of each segment's model next to the stored model of the same version."""
+    segments = t.customer.groupBy(F.col("c_mktsegment").alias("id")).agg(F.count(F.lit(1)).alias("bytes"))
+    details = segments.select("id", F.explode(F.array(F.lit(1.0), F.lit(2.0))).alias("version"), F.lit("linear").alias("model_type"))
+    return registry.model_view(details, segments.withColumn("version", F.lit(1.0))).select("id", "version", "model_type", "bytes")
+
+
 @query(
     "run_log",
     """SELECT CAST(step AS INTEGER) AS step, TIMESTAMP '2024-01-01' AS time, 'all' AS region, TIMESTAMP '2024-01-01' AS run_time,

@@ -157,13 +157,19 @@ def elapsed_by_group(df: DataFrame, keys: Sequence[str], start: str, end: str) -
     )
 
 
+def group_members(df: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
+    """One row per group and distinct member: the list of `string_agg_group` for groups of any size."""
+    return df.select(*keys, member).distinct()
+
+
 def string_agg_group(df: DataFrame, keys: Sequence[str], member: str) -> DataFrame:
     """Sorted comma list, minimum and maximum of the distinct members per group.
 
     Equal members are merged before the lists are built.  A list is one cell of
-    the result, so this is for groups whose member list is meant to be read.
+    the result, so this is for groups whose member list is meant to be read;
+    `group_members` has the same members as rows.
     """
-    members = df.select(*keys, member).distinct()
+    members = group_members(df, keys, member)
     return members.groupBy(*keys).agg(
         F.array_join(F.sort_array(F.collect_list(member)).cast("array<string>"), ",").alias("members"),
         F.min(member).alias("first_member"),

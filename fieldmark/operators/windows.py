@@ -308,7 +308,8 @@ def best_index_lag(
     known = smoothed.filter(F.col(value).isNotNull()).select(
         *keys, pos, value, F.explode(F.sequence(F.lit(0), F.lit(offsets - 1))).alias("offset")
     )
-    shifted = index.select(F.col(index_pos).alias("_at"), F.col(index_value).alias("_index"))
+    # Stored, so that an index of usual size is sent to the series and no week becomes a hot key.
+    shifted = measured(index.select(F.col(index_pos).alias("_at"), F.col(index_value).alias("_index")))
     pairs = known.withColumn("_at", F.col(pos) + F.col("offset")).join(shifted, "_at", "inner")
     scores = pairs.groupBy(*keys, "offset").agg(F.corr(value, "_index").alias("correlation"))
     # Ties go to the smaller offset.

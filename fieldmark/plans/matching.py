@@ -27,10 +27,17 @@ def pair_vectors(pairs: DataFrame, products: bool = False) -> DataFrame:
 
 
 def train_matcher(
-    labelled: DataFrame, label: str = "label", trees: int = 20, depth: int = 5, rate: float = 0.1, products: bool = False
+    labelled: DataFrame,
+    label: str = "label",
+    trees: int = 50,
+    depth: int = 5,
+    rate: float = 0.2,
+    leaf_rows: int = 10,
+    products: bool = False,
 ) -> PipelineModel:
+    """Boosted trees on pairs; a leaf has `leaf_rows` rows at least."""
     vectors = pair_vectors(labelled, products).select("features", F.col(label).cast("double").alias(label))
-    estimator = GBTClassifier(labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, seed=SEED)
+    estimator = GBTClassifier(labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate, minInstancesPerNode=leaf_rows, seed=SEED)
     return fit_kept(Pipeline(stages=[estimator]), vectors)
 
 
