@@ -6,11 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from checks.base import COMPONENTS, ERRORS, Tables, query, r6
+from checks.base import CHURN_DAYS, COMPONENTS, ERRORS, Tables, query, r6
+from checks.q_aggregates import TAGS
+from checks.q_joins import HASH
 from fieldmark.functions import calendar as cal
 from fieldmark.models import train
 from fieldmark.operators.metrics import class_report, mape, regression_metrics
-from fieldmark.plans import energy, maintenance, retail, rul
+from fieldmark.plans import churn, energy, maintenance, retail, rul
 from fieldmark.session import work_folder
 from fieldmark.streaming import arrivals
 
@@ -145,6 +147,35 @@ def retail_model(t: Tables):
     return regression_metrics(model.transform(rows), "value", "prediction", ["horizon"])
 
 
+CHURN_GROUPS = f"""{TAGS}, data AS (SELECT UserId, CAST(TagId AS INTEGER) AS label, CASE WHEN CAST(Age AS INTEGER) >= 33 THEN 1 ELSE 0 END AS older,
+    {HASH.format('UserId')} % 100 < 70 AS learns FROM tags JOIN users USING (UserId)),
+  shares AS (SELECT older, avg(label) AS p FROM data WHERE learns GROUP BY 1),
+  scored AS (SELECT UserId, label, p FROM data JOIN shares USING (older) WHERE NOT learns)"""
+
+
+def churn_run(t: Tables):
+    """With one yes/no feature the scores are the shares of the customers trained on."""
+    tagged = churn.churn_tags(t.activities, CHURN_DAYS).join(t.users, "UserId")
+    tagged = tagged.withColumn("older", (F.col("Age").cast("int") >= 33).cast("double"))
+    return churn.churn_scores(tagged, ["older"], train=lambda df, f, label: train.train_logistic(df, f, label, tol=1e-10))
+
+
+@query("churn_scores", f"WITH {CHURN_GROUPS} SELECT UserId, label, round(p, 4) AS score FROM scored", "activities users")
+def churn_scores(t: Tables):
+    return churn_run(t)[1].withColumn("score", r6("score", 4))
+
+
+@query(
+    "churn_auc",
+    f"""WITH {CHURN_GROUPS}, g AS (SELECT p, count_if(label = 1) AS y, count_if(label = 0) AS n FROM scored GROUP BY 1),
+    b AS (SELECT *, coalesce(sum(n) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS under FROM g)
+    SELECT round(sum(y * (under + n / 2)) / (sum(y) * sum(n)), 6) AS auc FROM b""",
+    "activities users",
+)
+def churn_auc(t: Tables):
+    return churn_run(t)[2].select(r6("auc").alias("auc"))
+
+
 @query("engine_life_model")
 def engine_life_model(t: Tables):
     """Labels, rolling features, normalisation, feature choice and a forest."""

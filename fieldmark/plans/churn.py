@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldmark.models.score import score_model
+from fieldmark.models.train import train_boosted
 from fieldmark.operators.aggregates import customer_features, customer_ratios
+from fieldmark.operators.joins import anti_join
+from fieldmark.operators.metrics import auc
+from fieldmark.operators.splits import repeatable_split
 
 
 def churn_tags(activities: DataFrame, churn_days: int, threshold: int = 0) -> DataFrame:
@@ -45,3 +53,21 @@ def churn_training_set(
     return churn_features(activities, users, churn_days).join(
         churn_tags(activities, churn_days, threshold), "UserId", "inner"
     )
+
+
+def churn_scores(
+    tagged: DataFrame,
+    features: Sequence[str],
+    percent: int = 70,
+    train: Callable[[DataFrame, Sequence[str], str], PipelineModel] = train_boosted,
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Model of a share of the customers, scores of the others, and the area under the curve.
+
+    `tagged` has UserId, TagId and the features; a customer without some feature gets
+    no score and does not count in the area.
+    """
+    labelled = tagged.withColumn("label", F.col("TagId").cast("int"))
+    training, _ = repeatable_split(labelled, "UserId", percent)
+    model = train(training, features, "label")
+    scored = score_model(model, anti_join(labelled, training, ["UserId"]), ["UserId", "label"])
+    return model, scored, auc(scored, "label", "score")
