@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmark.functions.numbers import hash_order, hash_percent
-from fieldmark.operators.ordered import positions
+from fieldmark.operators.ordered import hash_cell, positions
 
 
 def repeatable_split(df: DataFrame, key: str, percent: int = 70) -> tuple[DataFrame, DataFrame]:
@@ -18,14 +18,14 @@ def repeatable_split(df: DataFrame, key: str, percent: int = 70) -> tuple[DataFr
 
 
 def with_hash_rank(
-    df: DataFrame, key: str, keys: Sequence[str] = (), name: str = "_rank", size: str = "_size"
+    df: DataFrame, key: str, keys: Sequence[str] = (), name: str = "_rank", size: str = "_size", digits: int = 4
 ) -> DataFrame:
     """Position of each row in its group along the hash of a unique key.
 
-    Hash prefixes cut even a single huge group into equal cells.
+    Hash prefixes of `digits` hex digits cut even a single huge group into equal cells.
     """
     ordered = df.withColumn("_hash", hash_order(F.col(key)))
-    return positions(ordered, keys, ["_hash", key], F.substring("_hash", 1, 4), name, size).drop("_hash")
+    return positions(ordered, keys, ["_hash", key], hash_cell(F.col(key), digits), name, size).drop("_hash")
 
 
 def stratified_split(

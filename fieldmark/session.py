@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +44,31 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="fieldmark-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    name = spark.sparkContext.applicationId
+    if name not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[name] = tempfile.mkdtemp(prefix="fieldmark-")
+    return _LOCAL_FOLDERS[name]
+
+
+# Temporary folders of local sessions, and the stages written within open scopes.
+_LOCAL_FOLDERS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the stages written inside, at the end.
+
+    Results that still read from them have to be written or collected inside.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in _SCOPES.pop():
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 def work_folder(spark: SparkSession, label: str) -> str:
@@ -56,11 +80,16 @@ def stored(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` as a table below the shared folder and read it back.
 
     For a stage that several later steps read, or whose rows must not change when
-    a lost task is run again.  It is computed once, later plans are short, and
-    column pruning and filters reach the stored files.  The folder keeps it until
-    it is cleaned, as it does with checkpoints.
+    a lost task is run again.  It is computed once, when this is called; later plans
+    are short, and column pruning and filters reach the stored files.  The folder keeps
+    it until it is cleaned, as it does with checkpoints, or until the end of a `stage_scope`.
+    A stream has no end to be stored.
     """
+    if df.isStreaming:
+        raise ValueError("a stream cannot be stored as a stage; use it inside foreachBatch")
     path = work_folder(df.sparkSession, label)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
