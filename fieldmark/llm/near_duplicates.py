@@ -11,19 +11,22 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldmark.llm.tokenizing import release
 from fieldmark.session import stored
 
 WORDS = 5
 SKETCHES = 24
 SIMILARITY = 0.8
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
+PAIRS_AT_ONCE = 500
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -110,6 +113,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         last = max(first + 1, int(np.searchsorted(sizes, floor + SLICE_BYTES, "right")))
         yield first, texts.slice(first, last - first)
         first = last
+    release()
 
 
 def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -196,7 +200,10 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
 
 
 def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose words differ in a share of edits of 1 - similarity at most."""
+    """The pairs (a, b) of nodes whose words differ in a share of edits of 1 - similarity at most.
+
+    Computed at once, in batches small enough for pairs of very long texts.
+    """
     both = pairs.join(words.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a").join(
         words.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b"
     )
@@ -214,7 +221,21 @@ def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
 
-    return both.select("a", "b", "wa", "wb").mapInArrow(align, "a binary, b binary")
+    aligned = both.select("a", "b", "wa", "wb").mapInArrow(align, "a binary, b binary")
+    with batches_of(pairs.sparkSession, PAIRS_AT_ONCE):
+        return stored(aligned, "links")
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows for what is run inside; the setting is put back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -257,7 +278,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     coarse = F.transform("sketch", lambda s, i: F.xxhash64(s, i))
     buckets = nodes.select("node", F.explode(F.concat(coarse, fine)).alias("bucket"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
-    pairs = stored(buckets.join(hubs, "bucket").filter("hub < node").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct(), "pairs")
+    met = buckets.join(hubs, "bucket").filter("hub < node").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
+    pairs = stored(met.agg(F.count(F.lit(1)).alias("n")), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     first = rows.groupBy("node").agg(F.min("__id").alias("__id")).join(wanted, "node", "left_semi")
 
@@ -273,7 +295,16 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     chosen = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
     found = chosen.join(first, "__id").select("node", "__text").mapInArrow(hashes, "node binary, words array<int>")
     words = stored(found.dropDuplicates(["node"]), "words")
-    labels = components(verified(pairs, words, similarity))
+    # Most classes are found with the pair of each node that shares most sketches.
+    likely = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b"), "likely")
+    links = verified(likely, words, similarity)
+    labels = components(links)
+    # What is left are the pairs that would join two classes.
+    other = pairs.select("a", "b").join(likely, ["a", "b"], "left_anti")
+    for side in ("a", "b"):
+        other = other.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side, "left")
+    apart = other.filter(~F.coalesce("la", "a").eqNullSafe(F.coalesce("lb", "b"))).select("a", "b")
+    labels = components(links.union(verified(apart, words, similarity)))
     labelled = rows.select("__id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("__id").alias("class_id"))
     return labelled.join(smallest, "label").select(F.col("__id").alias(doc_id), "class_id")
