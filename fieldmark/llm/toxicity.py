@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldmark.llm.language import held_out, training_rows
+from fieldmark.llm.tokenizing import release
 from fieldmark.session import stored
 
 DECAY = 0.7
@@ -31,8 +32,10 @@ BUCKETS = 1 << 18
 POWER = 4  # of the kernel of two words, so that words alike in part hardly count
 MAX_WORD = 40  # longer words are read as overlapping stretches of this length
 WINDOW = 24  # words at most in one sentence window
-KEPT_WORDS = 1_000_000
-SLICE_BYTES = 4_000_000
+KEPT_WORDS = 400_000
+KERNEL_WORDS = 250  # words whose kernel values are worked out at once
+ROWS = 4_096
+SLICE_BYTES = 2_000_000
 
 PATTERNS = [
     (0, *inner, last)
@@ -132,9 +135,14 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, penalty: float
         if active is not None and (now == active).all():
             break
         active = now
-        part = x[active]
-        scaled = part * cost[active][:, None]
-        beta = np.linalg.solve(eye + (part.T @ scaled).astype(float), scaled.T.astype(float) @ y[active])
+        gram, pull = eye.copy(), np.zeros(len(beta))
+        for k in range(0, len(x), ROWS):  # in pieces, to make no copy of all rows
+            rows = active[k : k + ROWS] & (cost[k : k + ROWS] > 0)
+            part = x[k : k + ROWS][rows]
+            scaled = part * cost[k : k + ROWS][rows][:, None]
+            gram += part.T @ scaled
+            pull += scaled.T @ y[k : k + ROWS][rows]
+        beta = np.linalg.solve(gram, pull)
     return beta
 
 
@@ -180,7 +188,7 @@ class Machine:
     def word_values(self, words: list[str]) -> np.ndarray:
         if not len(self.coefficients):
             return np.zeros(len(words))
-        parts = [self.kernel(words[k : k + 4_000]) @ self.coefficients for k in range(0, len(words), 4_000)]
+        parts = [self.kernel(words[k : k + KERNEL_WORDS]) @ self.coefficients for k in range(0, len(words), KERNEL_WORDS)]
         return np.concatenate(parts) if parts else np.zeros(0)
 
     def document_features(self, values: np.ndarray, window: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
@@ -226,14 +234,19 @@ def fit_machine(texts: list[str], labels: np.ndarray, prior: float | None = None
     values, vectors = np.linalg.eigh(machine.kernel([words[i] for i in chosen]))
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    features = np.concatenate([(machine.kernel(words[k : k + 4_000]) @ root).astype(np.float32) for k in range(0, len(words), 4_000)])
     n = int(window.max()) + 1
-    x = np.ones((n, features.shape[1] + 1), np.float32)
-    by = np.argsort(window, kind="stable")
-    edges = np.concatenate([[0], np.cumsum(np.bincount(window, minlength=n))])
-    for a in range(0, n, 4096):
-        b = min(n, a + 4096)
-        x[a:b, :-1] = np.add.reduceat(features[place[by[edges[a] : edges[b]]]], edges[a:b] - edges[a], axis=0)
+    x = np.zeros((n, root.shape[1] + 1), np.float32)
+    x[:, -1] = 1.0
+    # Words in turn, each added to the windows it stands in: no table of all words' features.
+    by = np.lexsort((window, place // ROWS))
+    edges = np.searchsorted(place[by] // ROWS, np.arange(-(-len(words) // ROWS) + 1))
+    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+        part = words[k * ROWS : (k + 1) * ROWS]
+        features = np.concatenate([machine.kernel(part[i : i + KERNEL_WORDS]) @ root for i in range(0, len(part), KERNEL_WORDS)])
+        for c in range(a, b, 4 * ROWS):
+            rows = by[c : min(b, c + 4 * ROWS)]
+            at, first_of = np.unique(window[rows], return_index=True)
+            x[at, :-1] += np.add.reduceat(features[place[rows] - k * ROWS], first_of, axis=0)
     of = np.zeros(n, np.int64)
     of[window] = text
     positive = labels[of] == 1
@@ -241,8 +254,8 @@ def fit_machine(texts: list[str], labels: np.ndarray, prior: float | None = None
     for _ in range(rounds):
         y = np.where(positive, 1.0, -1.0).astype(np.float32)
         balance = min(20.0, (~positive & used).sum() / max(1, (positive & used).sum()))
-        cost = np.where(positive, balance, 1.0).astype(np.float32)
-        beta = squared_hinge(x[used], y[used], cost[used], penalty)
+        cost = np.where(positive, balance, used).astype(np.float32)
+        beta = squared_hinge(x, y, cost, penalty)
         score = x @ beta
         best = np.full(len(texts), -np.inf)
         np.maximum.at(best, of, score)
@@ -279,7 +292,7 @@ def score_toxicity(docs: DataFrame, machine: Machine, text: str = "text") -> Dat
         model = shared.value
         known: dict[str, float] = {}
         for batch in batches:
-            texts = pc.fill_null(batch.column("__text"), "")
+            texts = pc.fill_null(batch.column(at).cast(pa.string()), "")
             sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
             first = 0
             while first < len(texts):
@@ -293,10 +306,12 @@ def score_toxicity(docs: DataFrame, machine: Machine, text: str = "text") -> Dat
                 values = np.fromiter(map(known.__getitem__, words), float, len(words))
                 features = model.document_features(values[place], window, of, last - first)
                 chance = 1 / (1 + np.exp(-np.clip(features @ model.calibration, -30, 30)))
-                rest = [batch.column(i).slice(first, last - first) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(chance)], names=[*batch.schema.names[:-1], "score"])
+                rest = [column.slice(first, last - first) for column in batch.columns]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array(chance)], names=[*batch.schema.names, "score"])
                 first = last
+            release()
 
     fields = docs.select(*kept).schema.fields
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in fields], "score double"])
-    return docs.select(*kept, F.col(text).cast("string").alias("__text")).mapInArrow(score, schema)
+    at = kept.index(text)
+    return docs.select(*kept).mapInArrow(score, schema)
