@@ -19,11 +19,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldmark.llm.tokenizing import release
 from fieldmark.session import stored
 
 ORDER = 3
 UNKNOWN = "und"
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 500_000
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -208,7 +209,7 @@ def predict_language(docs: DataFrame, model: ContextTrees, text: str = "text") -
         trees = shared.value
         names = np.array(trees.languages, object)
         for batch in batches:
-            texts = pc.fill_null(batch.column("__text"), "")
+            texts = pc.fill_null(batch.column(place).cast(pa.string()), "")
             sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
             letters = pc.match_substring_regex(texts, r"\pL").to_numpy(zero_copy_only=False).astype(bool)
             first = 0
@@ -230,14 +231,16 @@ def predict_language(docs: DataFrame, model: ContextTrees, text: str = "text") -
                     lang[known] = names[best[known]]
                     score[known] = (1 / share)[known]
                     per_byte = least / lens
-                rest = [batch.column(i).slice(first, last - first) for i in range(batch.num_columns - 1)]
+                rest = [column.slice(first, last - first) for column in batch.columns]
                 yield pa.RecordBatch.from_arrays(
                     [*rest, pa.array(lang, pa.string()), pa.array(score), pa.array(per_byte)],
-                    names=[*batch.schema.names[:-1], "lang_pred", "score", "bits_per_byte"],
+                    names=[*batch.schema.names, "lang_pred", "score", "bits_per_byte"],
                 )
                 first = last
+            release()
 
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "bits_per_byte")]
     fields = docs.select(*kept).schema.fields
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string, score double, bits_per_byte double"])
-    return docs.select(*kept, F.col(text).cast("string").alias("__text")).mapInArrow(predict, schema)
+    place = kept.index(text)
+    return docs.select(*kept).mapInArrow(predict, schema)
