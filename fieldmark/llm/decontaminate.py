@@ -34,16 +34,17 @@ def template_words(text: Column) -> Column:
     A name is a capitalised word after a lower-case word, so one at the start of a
     sentence is not taken for a name.  Case is folded and signs part words.
     """
-    plain = F.translate(text, "<>", "  ")
-    names = F.when(
-        plain.rlike(r"\p{Ll},?\x20\p{Lu}\p{Ll}"),
-        F.regexp_replace(plain, r"(?<=\p{Ll},?\x20)(\p{Lu}\p{Ll}+)(?!\p{L})", f"{NAME}$1"),
-    ).otherwise(plain)
+    signs = F.contains(text, F.lit("<")) | F.contains(text, F.lit(">"))
+    plain = F.when(signs, F.translate(text, "<>", "  ")).otherwise(text)
+    names = F.regexp_replace(plain, r"\x20(?<=\p{Ll},?\x20)(\p{Lu}\p{Ll}+)(?!\p{L})", f" {NAME}$1")
     units = rf"(?<=[0-9])\x20?({'|'.join(sorted(UNITS, key=len, reverse=True))}|[%$€£])(?![\p{{L}}0-9])"
-    with_units = F.when(names.rlike("[0-9]"), F.regexp_replace(names, units, f" {UNIT}$1")).otherwise(names)
+    with_units = F.regexp_replace(names, units, f" {UNIT}$1")
     numbers = F.regexp_replace(with_units, r"(?<![\p{L}0-9])([0-9]++(?:[.,][0-9]++){0,8})(?![\p{L}0-9])", f"{NUMBER}$1")
-    typed = F.when(with_units.rlike("[0-9]"), numbers).otherwise(with_units)
-    return F.split(F.trim(F.lower(F.regexp_replace(typed, r"[^\p{L}\p{N}<>]+", " "))), " ")
+    # Points and commas stay within numbers.
+    apart = F.when(
+        names.rlike("[0-9]"), F.regexp_replace(numbers, r"[^\p{L}\p{N}<>.,]+|[.,]+(?![0-9.,])|(?<![0-9])[.,]+", " ")
+    ).otherwise(F.regexp_replace(names, r"[^\p{L}\p{N}<>]+", " "))
+    return F.split(F.trim(F.lower(apart)), " +")
 
 
 def is_slot(word: Column) -> Column:
@@ -57,13 +58,13 @@ def bare(word: Column) -> Column:
 
 def window_hashes(words: Column, size: int) -> Column:
     """Hashes of the templates of all windows of `size` words, by place; empty for shorter texts."""
-
-    def cut(hashes: Column) -> Column:
-        return F.when(F.size(hashes) < size, F.array().cast("array<long>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.size(hashes) - size + 1), lambda i: F.xxhash64(F.slice(hashes, i, size)))
-        )
-
-    return let(F.transform(words, lambda w: F.xxhash64(bare(w))), cut)
+    templates = F.when(F.exists(words, is_slot), F.transform(words, bare)).otherwise(words)
+    return let(
+        templates,
+        lambda t: F.when(F.size(t) < size, F.array().cast("array<long>")).otherwise(
+            F.transform(F.sequence(F.lit(1), F.size(t) - size + 1), lambda i: F.xxhash64(F.slice(t, i, size)))
+        ),
+    )
 
 
 def window_at(words: Column, place: Column, size: Column) -> tuple[Column, Column]:
@@ -100,9 +101,10 @@ def contaminated(
     wholes.  NULL and empty texts and rows without an id match nothing.  Rows of one id
     are one document, found if one of its texts is.
     """
-    items = benchmark.filter(F.col(item_id).isNotNull()).select(
-        F.col(item_id).alias("__item"), template_words(whole_text(item_text)).alias("__iw")
-    )
+    # An item also stands for its form in lower case, in which no word passes for a name.
+    forms = F.explode(F.array(whole_text(item_text), F.lower(whole_text(item_text)))).alias("__it")
+    items = benchmark.filter(F.col(item_id).isNotNull()).select(F.col(item_id).alias("__item"), forms)
+    items = items.select("__item", template_words(F.col("__it")).alias("__iw"))
     items = items.filter(F.size("__iw") >= SHORTEST).distinct().withColumn("__size", F.least(F.size("__iw"), F.lit(window)))
     template, values = window_at(F.col("__iw"), F.col("__at"), F.col("__size"))
     cut = (
@@ -111,7 +113,7 @@ def contaminated(
         .select("__item", "__form", "__size", "__at", template.alias("__template"), values.alias("__values"))
         .filter(F.size("__values") * 2 < F.col("__size"))
     )
-    cut = stored(cut.withColumn("__hash", F.xxhash64(F.transform(F.split("__template", " "), lambda w: F.xxhash64(w)))), "windows")
+    cut = stored(cut.withColumn("__hash", F.xxhash64(F.split("__template", " "))), "windows")
     small = cut.count() <= BROADCAST_ROWS
 
     def sent(df: DataFrame) -> DataFrame:
