@@ -25,8 +25,8 @@ from fieldmark.session import stored
 WORDS = 5
 SKETCHES = 24
 SIMILARITY = 0.8
-SLICE_BYTES = 2_000_000
-PAIRS_AT_ONCE = 500
+SLICE_BYTES = 1_000_000
+PAIRS_AT_ONCE = 250
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
