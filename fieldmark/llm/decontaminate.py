@@ -140,7 +140,10 @@ def contaminated(
         .agg(F.collect_set(F.struct("__place", "__s")).alias("__places"))
     )
     seen = stored(seen, "places")
-    again = base.join(seen, ["__id", TEXT_KEY]).dropDuplicates(["__id", TEXT_KEY]).select(
+    # By shuffle at any size, and as texts, which are smaller than their words.
+    texts = docs.select(F.col(doc_id).alias("__id"), text_key(text).alias(TEXT_KEY), F.col(text).alias("__text"))
+    again = texts.join(seen.hint("merge"), ["__id", TEXT_KEY]).dropDuplicates(["__id", TEXT_KEY])
+    again = again.withColumn("__dw", template_words(F.col("__text"))).select(
         "__id", TEXT_KEY, F.explode(F.transform("__places", lambda p: windowed(F.col("__dw"), p))).alias("w")
     )
     hits = again.select("__id", TEXT_KEY, F.col("w.place").alias("__place"), F.col("w.template").alias("__template"), F.col("w.values").alias("__found")).join(
