@@ -16,7 +16,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldmark.llm.tokenizing import release
@@ -27,6 +27,8 @@ SKETCHES = 24
 SIMILARITY = 0.8
 SLICE_BYTES = 1_000_000
 PAIRS_AT_ONCE = 250
+BINS = 64
+TURN_BASE = 8
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -117,7 +119,10 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 
 
 def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """__id, node (digest of the words, or of the text if it has none), sketch."""
+    """__id, node (digest of the words, or of the text if it has none), sketch, size (words), bins.
+
+    `bins` counts the words by their hash in BINS parts, up to 32,767 each.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,13 +139,22 @@ def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                 # Texts shorter than a k-mer are compared as wholes.
                 offsets = np.concatenate([[0], np.cumsum(np.where(counts >= WORDS, SKETCHES, 0))]).astype(np.int32)
                 flat = rows[counts >= WORDS].ravel()
+                part = np.repeat(np.arange(len(texts)), counts) * BINS + (words % np.uint64(BINS)).astype(np.int64)
+                bins = np.minimum(np.bincount(part, minlength=len(texts) * BINS), 32767).astype(np.int16)
+                edges_of_bins = np.arange(len(texts) + 1, dtype=np.int32) * BINS
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("__id").slice(first, len(texts)), pa.array(nodes, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["__id", "node", "sketch"],
+                    [
+                        batch.column("__id").slice(first, len(texts)),
+                        pa.array(nodes, pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        pa.array(counts.astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(edges_of_bins), pa.array(bins)),
+                    ],
+                    names=["__id", "node", "sketch", "size", "bins"],
                 )
 
     chosen = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
-    return chosen.mapInArrow(sketch, "__id long, node binary, sketch array<long>")
+    return chosen.mapInArrow(sketch, "__id long, node binary, sketch array<long>, size int, bins array<smallint>")
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
@@ -259,24 +273,84 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def buckets_of(nodes: DataFrame) -> DataFrame:
+    """A row for each bucket of a node: a sketch, or two sketches at once; other columns stay."""
+    fine = F.transform("sketch", lambda s, i: F.xxhash64(s, F.get("sketch", (i + 1) % SKETCHES), i + SKETCHES))
+    coarse = F.transform("sketch", lambda s, i: F.xxhash64(s, i))
+    return nodes.withColumn("bucket", F.explode(F.concat(coarse, fine))).drop("sketch")
+
+
+def with_label(df: DataFrame, labels: DataFrame) -> DataFrame:
+    return df.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def within_reach(a: str, b: str, similarity: float) -> Column:
+    """False only where lengths or word counts alone take more edits than `similarity` allows."""
+    longer = F.greatest(f"{a}.size", f"{b}.size")
+    most = F.floor(F.lit(1 - similarity) * longer + 1e-9)
+    lacking = F.zip_with(f"{a}.bins", f"{b}.bins", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
+    # An edit lowers the sum of differences by two at most.
+    return (longer - F.least(f"{a}.size", f"{b}.size") <= most) & (F.aggregate(lacking, F.lit(0), lambda s, x: s + x) <= most * 2)
+
+
+def further_links(nodes: DataFrame, pairs: DataFrame, links: DataFrame, labels: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Labels, after all pairs of different classes in a bucket have been aligned.
+
+    Each member of a bucket with several classes has a turn at which it meets all members
+    of its own and later turns.  First comes the member that shares most buckets, such as
+    the original of a family of copies; the others follow by hash, about TURN_BASE times
+    as many each turn, so that a few members join what they can before many meet.  Pairs
+    of one class and those out of reach by length or word counts are left out.
+    """
+    labelled = with_label(nodes, labels)
+    mixed_ones = buckets_of(labelled.select("label", "sketch")).groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("top"), F.count(F.lit(1)).alias("n"))
+    mixed_ones = stored(mixed_ones.filter("low < top").select("bucket", "n"), "mixed")
+    if mixed_ones.isEmpty():
+        return labels
+    members = stored(buckets_of(nodes.select("node", "sketch")).join(mixed_ones, "bucket"), "members")
+    shared = stored(members.groupBy("node").agg(F.sum("n").alias("shared")), "shared")
+    first = members.join(shared, "node").groupBy("bucket").agg(F.max(F.struct("shared", "node"))["node"].alias("first"))
+    chance = F.shiftrightunsigned(F.xxhash64("node", "bucket"), 11) / F.lit(float(2**53))
+    drawn = F.greatest(F.floor(F.log(float(TURN_BASE), F.greatest(chance * F.col("n"), F.lit(1.0)))) + 1, F.lit(1))
+    turns = members.join(first, "bucket").select("node", "bucket", F.when(F.col("node") == F.col("first"), 0).otherwise(drawn).cast("int").alias("turn"))
+    turns = stored(turns.join(nodes.select("node", "size", "bins"), "node"), "turns")
+    last = turns.agg(F.max("turn")).first()[0]
+    tried = pairs.select("a", "b")
+    for turn in range(last + 1):
+        now = with_label(turns.filter(F.col("turn") >= turn), labels)
+        hub, other = now.filter(F.col("turn") == turn).alias("x"), now.alias("y")
+        later = (F.col("y.turn") > turn) | (F.col("x.node") < F.col("y.node"))
+        met = hub.join(other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & later & within_reach("x", "y", similarity))
+        new = met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+        new = stored(new.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if new.isEmpty():
+            continue
+        tried = tried.union(new)
+        more = verified(new, words, similarity)
+        if not more.isEmpty():
+            links = links.union(more)
+            labels = components(links)
+    return labels
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id), one row per row with an id: the smallest id of its class.
 
     Documents with equal words are one node from the start.  Nodes that share a sketch
-    are candidates.  Within such a group each node is compared with the smallest, not
-    with all; a second grouping by two sketches at once parts the copies of different
-    documents that share a passage.  Each candidate pair is aligned, and classes are the
-    connected components of the pairs whose edit similarity, 1 - edits / words of the
-    longer, is `similarity` or more.  Nothing is capped.
+    are candidates.  Each node is first compared with the smallest of the group with which
+    it shares most sketches; a second grouping by two sketches at once parts the copies of
+    different documents that share a passage.  Groups that still hold several classes go
+    on in rounds, until no pair of different classes is left unaligned that lengths or
+    word counts do not rule out.  Classes are the connected components of the pairs whose
+    edit similarity, 1 - edits / words of the longer, is `similarity` or more.  Nothing is
+    capped.
 
     A NULL text is an empty one; texts without words are equal only as texts.  Of fewer
     than five words only equal ones are duplicates.  Rows without an id are left out.
     """
     rows = stored(sketched(docs, text, doc_id), "sketches")
-    nodes = rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.min("sketch").alias("sketch"))
-    fine = F.transform("sketch", lambda s, i: F.xxhash64(s, F.get("sketch", (i + 1) % SKETCHES), i + SKETCHES))
-    coarse = F.transform("sketch", lambda s, i: F.xxhash64(s, i))
-    buckets = nodes.select("node", F.explode(F.concat(coarse, fine)).alias("bucket"))
+    nodes = rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.min("sketch").alias("sketch"), F.min("size").alias("size"), F.min("bins").alias("bins"))
+    buckets = buckets_of(nodes.select("node", "sketch"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
     met = buckets.join(hubs, "bucket").filter("hub < node").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
     pairs = stored(met.agg(F.count(F.lit(1)).alias("n")), "pairs")
@@ -298,13 +372,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # Most classes are found with the pair of each node that shares most sketches.
     likely = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b"), "likely")
     links = verified(likely, words, similarity)
-    labels = components(links)
     # What is left are the pairs that would join two classes.
-    other = pairs.select("a", "b").join(likely, ["a", "b"], "left_anti")
-    for side in ("a", "b"):
-        other = other.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"l{side}")), side, "left")
-    apart = other.filter(~F.coalesce("la", "a").eqNullSafe(F.coalesce("lb", "b"))).select("a", "b")
-    labels = components(links.union(verified(apart, words, similarity)))
-    labelled = rows.select("__id", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labels = further_links(nodes, likely, links, components(links), words, similarity)
+    labelled = with_label(rows.select("__id", "node"), labels)
     smallest = labelled.groupBy("label").agg(F.min("__id").alias("class_id"))
     return labelled.join(smallest, "label").select(F.col("__id").alias(doc_id), "class_id")

@@ -102,3 +102,23 @@ def test_one_large_group(frame):
         copy[i % 120] = f"other{i}"
         rows.append((i, " ".join(copy)))
     assert {r["class_id"] for r in near_duplicates(frame(rows, "doc_id long, text string")).collect()} == {0}
+
+
+def test_star_of_copies(frame):
+    """Copies that are near their original only, each with another block replaced, are one class."""
+    rng = random.Random(3)
+    base = [f"word{i}" for i in range(400)]
+    rows = [(5000, " ".join(base))]
+    for i in range(2000):
+        start = rng.randrange(10) * 40
+        block = [f"other{i}x{k}" for k in range(70)]
+        copy = [*base[:start], *block, *base[start + 70 :]] if start + 70 <= 400 else [*base[:330], *block]
+        rows.append((i, " ".join(copy)))
+    hashes = [np.array([hash(w) for w in text.split()]) for _, text in rows]
+    near = [(i, j) for i in range(0, len(rows), 97) for j in range(i) if (hashes[i] != hashes[j]).sum() <= 80]
+    assert len(near) < len(rows) * len(range(0, len(rows), 97)) / 4  # most copies are not near each other
+    assert all((hashes[0] != h).sum() <= 80 for h in hashes)
+    rows += [(9000 + i, " ".join(f"own{i}x{k}" if k % 3 else base[k] for k in range(400))) for i in range(20)]
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert {got[i] for i, _ in rows[:2001]} == {0}
+    assert all(got[9000 + i] == 9000 + i for i in range(20))
