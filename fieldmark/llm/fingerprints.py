@@ -114,11 +114,35 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(let(F.struct(F.split(a, ":").alias("x"), F.split(b, ":").alias("y")), compared))
 
 
-def lexicon(docs: DataFrame, text: str, min_docs: int, max_share: float) -> DataFrame:
-    """Hashes of the terms within the band: in `min_docs` documents at least, in `max_share` of them at most."""
-    total = docs.count()
-    held = docs.select(F.explode(term_hashes(whole_text(text))).alias("__h")).groupBy("__h").agg(F.count(F.lit(1)).alias("__df"))
-    return held.filter((F.col("__df") >= min_docs) & (F.col("__df") <= max_share * total)).select("__h")
+def distinct_texts(docs: DataFrame, text: str) -> DataFrame:
+    """Each text once, however many rows hold it."""
+    return docs.groupBy(F.sha2(whole_text(text), 256).alias("__sha")).agg(F.first(whole_text(text)).alias("__text")).select("__text")
+
+
+def lexicon(texts: DataFrame, min_docs: int) -> DataFrame:
+    """Hashes of the terms in `min_docs` distinct texts at least, and in how many."""
+    held = texts.select(F.explode(term_hashes(F.col("__text"))).alias("__h")).groupBy("__h").agg(F.count(F.lit(1)).alias("__df"))
+    return held.filter(F.col("__df") >= min_docs)
+
+
+def with_mark(terms: Column, mark: int) -> Column:
+    return F.transform(terms, lambda h: F.struct(h.alias("h"), F.lit(mark).alias("m")))
+
+
+def in_band(terms: Column, most: float) -> Column:
+    """Terms in `most` texts at most, and the rarer half in any case, of array<struct<df,h>> with a NULL df below the band.
+
+    Where a group of near copies holds a large share of all texts, its terms are above the
+    band; the rarer half of each document's terms is nearly the same in all of the group.
+    A text with no term in enough texts keeps all its terms.
+    """
+    return let(
+        F.array_sort(F.filter(terms, lambda t: t["df"].isNotNull())),
+        lambda known: F.transform(
+            F.when(F.size(known) == 0, terms).otherwise(F.filter(known, lambda t, i: (t["df"] <= most) | (i * 2 < F.size(known)))),
+            lambda t: t["h"],
+        ),
+    )
 
 
 def ring(docs: DataFrame) -> DataFrame:
@@ -147,12 +171,12 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mi
     near_next, one row per row.
 
     A text moves once, to its place in the ring, and of the next document only the part
-    that is needed.  Of the terms only those in a subset of their document move, some
-    dozens whatever its length, with one row for a term of both texts.
+    that is needed.  Of the terms only hashes move, with one row for a term of both texts.
 
     A NULL text is empty.  A row without an id comes after all others.  Rows of one id
     and different texts are neighbours by hash of the text; equal rows are one document
-    and get equal results.  A text without a term in the band has a hash of itself.
+    and get equal results.  Document frequencies count distinct texts.  A text without a
+    word has a hash of itself.
     """
     keyed = with_key(docs, text, doc_id)
     around = ring(keyed)
@@ -169,7 +193,6 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mi
         .withColumn("__a", term_hashes(F.col("__text")))
         .withColumn("__e", term_hashes(F.col("__edited")))
     )
-    chosen = lambda terms, level: F.filter(terms, lambda h: sampled(h, level))
     rows = both.select(
         *KEY,
         "__pos",
@@ -177,24 +200,23 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mi
         "__n",
         F.sha2("__text", 256).alias("__sha"),
         F.sha2("__edited", 256).alias("edited_sha256"),
-        level_of(F.col("__a")).alias("__la"),
-        level_of(F.col("__e")).alias("__le"),
-        let(F.struct(F.col("__a").alias("t"), level_of(F.col("__a")).alias("l")), lambda x: chosen(x["t"], x["l"])).alias("__ca"),
-        let(F.struct(F.col("__e").alias("t"), level_of(F.col("__e")).alias("l")), lambda x: chosen(x["t"], x["l"])).alias("__ce"),
-    )
-    rows = stored(rows, "chosen")
-    flagged = F.transform(
-        F.array_union("__ca", "__ce"),
-        lambda h: F.struct(h.alias("h"), (F.array_contains("__ca", h).cast("int") + F.array_contains("__ce", h).cast("int") * 2).alias("m")),
+        "__a",
+        "__e",
     )
+    rows = stored(rows, "terms")
+    shared = F.array_intersect("__a", "__e")
+    parts = ((shared, 3), (F.array_except("__a", "__e"), 1), (F.array_except("__e", "__a"), 2))
+    flagged = F.concat(*[with_mark(t, m) for t, m in parts])
     terms = rows.select("__pos", F.explode(flagged).alias("x")).select("__pos", F.col("x.h").alias("__h"), F.col("x.m").alias("__m"))
-    inside = terms.join(lexicon(docs, text, min_docs, max_share), "__h").groupBy("__pos").agg(F.collect_set(F.struct("__h", "__m")).alias("__terms"))
-    described = rows.drop("__ca", "__ce").join(inside, "__pos", "left")
+    texts = distinct_texts(docs, text)
+    most = max_share * texts.count()
+    known = terms.join(lexicon(texts, min_docs), "__h", "left")
+    inside = known.groupBy("__pos").agg(F.collect_set(F.struct(F.col("__df").alias("df"), F.col("__h").alias("h"), F.col("__m").alias("m"))).alias("__terms"))
 
     def of(bit: int) -> Column:
-        mine = F.filter("__terms", lambda t: t["__m"].bitwiseAND(bit) != 0)
-        return F.transform(mine, lambda t: t["__h"])
+        return in_band(F.filter("__terms", lambda t: t["m"].bitwiseAND(bit) != 0), most)
 
+    described = rows.drop("__a", "__e").join(inside, "__pos", "left").withColumn("__ba", of(1)).withColumn("__be", of(2))
     prints = stored(
         described.select(
             *KEY,
@@ -202,8 +224,8 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", mi
             "__around",
             F.col("__n").cast("long").alias("n_chars"),
             "edited_sha256",
-            fingerprint_text(of(1), F.col("__la"), F.col("__sha")).alias("fingerprint"),
-            fingerprint_text(of(2), F.col("__le"), F.col("edited_sha256")).alias("edited_fingerprint"),
+            fingerprint_text(F.col("__ba"), level_of(F.col("__ba")), F.col("__sha")).alias("fingerprint"),
+            fingerprint_text(F.col("__be"), level_of(F.col("__be")), F.col("edited_sha256")).alias("edited_fingerprint"),
         ),
         "prints",
     )

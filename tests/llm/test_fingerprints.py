@@ -51,3 +51,22 @@ def test_small_tables(frame):
     assert fingerprints(frame([], "doc_id long, text string")).count() == 0
     one = fingerprints(frame([(5, "abcdef")], "doc_id long, text string")).first()
     assert one["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest() and one["near_next"] == 1
+
+
+def test_near_copies_that_hold_a_third_of_the_rows(frame):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(4))
+    stop, other, base = [word() for _ in range(10)], [word() for _ in range(400)], [word() for _ in range(80)]
+    rows = []
+    for i in range(80):
+        copy = list(base)
+        copy[rng.randrange(80)] = rng.choice(other)
+        rows.append((i, " ".join(stop + copy)))
+    rows += [(100 + i, " ".join(stop + rng.sample(other, 80))) for i in range(80)]
+    rows += [(300 + i, rows[80][1]) for i in range(80)]
+    got = {r["doc_id"]: r for r in fingerprints(frame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[i]["near_next"] for i in range(1, 80)) / 79 > 0.7
+    alone = [got[100 + i]["near_next"] for i in range(1, 80)]
+    assert sum(alone) / 79 < 0.4
+    assert len({got[300 + i]["fingerprint"] for i in range(80)}) == 1
+    assert not any(r["fingerprint"].startswith("text:") for r in got.values())
