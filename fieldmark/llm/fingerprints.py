@@ -4,7 +4,9 @@ Terms within a band of inverse document frequency are kept, sorted and hashed, n
 for many randomised subsets of the lexicon, so that an edit changes some hashes and not all.
 The subsets get thinner as documents get longer: at level L one term in 2 to the L is in
 the lexicon, which is dealt out to SUBSETS subsets, and a document is hashed at the level
-at which a subset holds about one of its terms, and at the next.
+at which a subset holds about one of its terms, and at the next.  Those serve for likeness.
+For equality a fingerprint also has hashes of SUBSETS random subsets that hold three
+quarters of the lexicon at any length, so that all terms of the band count.
 """
 
 from __future__ import annotations
@@ -50,15 +52,32 @@ def level_of(terms: Column) -> Column:
     return F.greatest(F.floor(F.log2(F.greatest(F.size(terms), F.lit(1)) / (SUBSETS / 2))), F.lit(0)).cast("int")
 
 
-def subset_hashes(terms: Column, level: Column) -> Column:
-    """Two characters for each subset: hash of its terms in the document, sorted; EMPTY without any."""
+def code(part: Column) -> Column:
+    """Two characters for an array of terms."""
     letters = F.lit(ALPHABET)
+    return let(
+        F.pmod(F.xxhash64(part), F.lit(4096)).cast("int"),
+        lambda v: F.concat(F.substring(letters, F.call_function("div", v, F.lit(64)).cast("int") + 1, F.lit(1)), F.substring(letters, v % 64 + 1, F.lit(1))),
+    )
 
-    def code(part: Column) -> Column:
-        return let(
-            F.pmod(F.xxhash64(part), F.lit(4096)).cast("int"),
-            lambda v: F.concat(F.substring(letters, F.call_function("div", v, F.lit(64)).cast("int") + 1, F.lit(1)), F.substring(letters, v % 64 + 1, F.lit(1))),
-        )
+
+def whole_hashes(terms: Column) -> Column:
+    """Two characters for each of SUBSETS seeded subsets that hold three quarters of the lexicon, whatever the length."""
+    marked = F.transform(terms, lambda h: F.struct(h.alias("h"), F.xxhash64(h, F.lit(71)).bitwiseOR(F.xxhash64(h, F.lit(72))).alias("in")))
+    return let(
+        marked,
+        lambda t: F.array_join(
+            F.transform(
+                F.sequence(F.lit(0), F.lit(SUBSETS - 1)),
+                lambda k: code(F.transform(F.filter(t, lambda x: F.getbit(x["in"], k) == 1), lambda x: x["h"])),
+            ),
+            "",
+        ),
+    )
+
+
+def subset_hashes(terms: Column, level: Column) -> Column:
+    """Two characters for each subset: hash of its terms in the document, sorted; EMPTY without any."""
 
     return let(
         F.filter(terms, lambda h: sampled(h, level)),
@@ -76,11 +95,11 @@ def subset_hashes(terms: Column, level: Column) -> Column:
 
 
 def fingerprint_text(terms: Column, level: Column, sha: Column) -> Column:
-    """`level:hashes of the level:hashes of the next`; without terms a hash of the whole text."""
+    """`level:hashes of the level:hashes of the next:hashes of the large subsets`; without terms a hash of the whole text."""
     return F.when(F.coalesce(F.size(terms), F.lit(0)) == 0, F.concat(F.lit("text:"), F.substring(sha, 1, 32))).otherwise(
         let(
             F.array_sort(terms),
-            lambda t: F.concat_ws(":", level.cast("string"), subset_hashes(t, level), subset_hashes(t, level + 1)),
+            lambda t: F.concat_ws(":", level.cast("string"), subset_hashes(t, level), subset_hashes(t, level + 1), whole_hashes(t)),
         )
     )
 

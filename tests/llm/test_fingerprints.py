@@ -70,3 +70,16 @@ def test_near_copies_that_hold_a_third_of_the_rows(frame):
     assert sum(alone) / 79 < 0.4
     assert len({got[300 + i]["fingerprint"] for i in range(80)}) == 1
     assert not any(r["fingerprint"].startswith("text:") for r in got.values())
+
+
+def test_long_texts_with_few_changes_differ(frame):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for i in range(24):
+        chosen = rng.sample(words, 600)
+        rows.append((2 * i, " ".join(chosen)))
+        rows.append((2 * i + 1, " ".join(rng.sample(words, 18) + chosen[18:])))
+    got = {r["doc_id"]: r for r in fingerprints(frame(rows, "doc_id long, text string")).collect()}
+    assert all(got[2 * i]["fingerprint"] != got[2 * i + 1]["fingerprint"] for i in range(24))
+    assert sum(got[2 * i + 1]["near_next"] for i in range(24)) / 24 > 0.8
