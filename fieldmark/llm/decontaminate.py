@@ -28,15 +28,19 @@ UNITS = (
 NUMBER, NAME, UNIT = "<n>", "<p>", "<u>"
 
 
-def template_words(text: Column) -> Column:
+def template_words(text: Column, starts: bool = False) -> Column:
     """Words of a text, placeholders glued to what they stand for: `<n>12`, `<u>km`, `<p>ada`.
 
     A name is a capitalised word after a lower-case word, so one at the start of a
-    sentence is not taken for a name.  Case is folded and signs part words.
+    sentence is not taken for a name; with `starts` every capitalised word is.  Case is
+    folded and signs part words.
     """
     signs = F.contains(text, F.lit("<")) | F.contains(text, F.lit(">"))
     plain = F.when(signs, F.translate(text, "<>", "  ")).otherwise(text)
-    names = F.regexp_replace(plain, r"\x20(?<=\p{Ll},?\x20)(\p{Lu}\p{Ll}+)(?!\p{L})", f" {NAME}$1")
+    if starts:
+        names = F.regexp_replace(plain, r"(?<![\p{L}0-9])(\p{Lu}\p{Ll}+)(?!\p{L})", f" {NAME}$1")
+    else:
+        names = F.regexp_replace(plain, r"\x20(?<=\p{Ll},?\x20)(\p{Lu}\p{Ll}+)(?!\p{L})", f" {NAME}$1")
     units = rf"(?<=[0-9])\x20?({'|'.join(sorted(UNITS, key=len, reverse=True))}|[%$€£])(?![\p{{L}}0-9])"
     with_units = F.regexp_replace(names, units, f" {UNIT}$1")
     numbers = F.regexp_replace(with_units, r"(?<![\p{L}0-9])([0-9]++(?:[.,][0-9]++){0,8})(?![\p{L}0-9])", f"{NUMBER}$1")
@@ -47,6 +51,19 @@ def template_words(text: Column) -> Column:
     return F.split(F.trim(F.lower(apart)), " +")
 
 
+def both_forms(text: Column) -> Column:
+    """Structs `starts` and `words`: the template words, and again with every capitalised word as a name if that differs."""
+    return let(
+        F.struct(template_words(text).alias("a"), template_words(text, starts=True).alias("b")),
+        lambda x: F.concat(
+            F.array(F.struct(F.lit(False).alias("starts"), x["a"].alias("words"))),
+            F.when(x["a"] == x["b"], F.array().cast("array<struct<starts:boolean,words:array<string>>>")).otherwise(
+                F.array(F.struct(F.lit(True).alias("starts"), x["b"].alias("words")))
+            ),
+        ),
+    )
+
+
 def is_slot(word: Column) -> Column:
     return F.startswith(word, F.lit("<"))
 
@@ -104,7 +121,8 @@ def contaminated(
     # An item also stands for its form in lower case, in which no word passes for a name.
     forms = F.explode(F.array(whole_text(item_text), F.lower(whole_text(item_text)))).alias("__it")
     items = benchmark.filter(F.col(item_id).isNotNull()).select(F.col(item_id).alias("__item"), forms)
-    items = items.select("__item", template_words(F.col("__it")).alias("__iw"))
+    # Items and documents have a second form, in which names may open a sentence.
+    items = items.select("__item", F.explode(both_forms(F.col("__it"))["words"]).alias("__iw"))
     items = items.filter(F.size("__iw") >= SHORTEST).distinct().withColumn("__size", F.least(F.size("__iw"), F.lit(window)))
     template, values = window_at(F.col("__iw"), F.col("__at"), F.col("__size"))
     cut = (
@@ -121,8 +139,9 @@ def contaminated(
 
     sizes = [r[0] for r in cut.select("__size").distinct().collect()]  # SHORTEST to `window`: a few numbers
     base = docs.filter(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(doc_id).alias("__id"), text_key(text).alias(TEXT_KEY), template_words(F.col(text)).alias("__dw")
+        F.col(doc_id).alias("__id"), text_key(text).alias(TEXT_KEY), F.explode(both_forms(F.col(text))).alias("__f")
     )
+    base = base.select("__id", TEXT_KEY, F.col("__f.starts").alias("__starts"), F.col("__f.words").alias("__dw"))
     # One explode for all window lengths that items have.
     hashed = F.concat(
         F.array().cast("array<struct<place:int,size:int,hash:long>>"),
@@ -133,23 +152,23 @@ def contaminated(
     )
     keys = cut.select(F.col("__hash").alias("__h"), F.col("__size").alias("__s")).distinct()
     seen = (
-        base.select("__id", TEXT_KEY, F.explode(hashed).alias("w"))
-        .select("__id", TEXT_KEY, F.col("w.place").alias("__place"), F.col("w.size").alias("__s"), F.col("w.hash").alias("__h"))
+        base.select("__id", TEXT_KEY, "__starts", F.explode(hashed).alias("w"))
+        .select("__id", TEXT_KEY, "__starts", F.col("w.place").alias("__place"), F.col("w.size").alias("__s"), F.col("w.hash").alias("__h"))
         .join(sent(keys), ["__h", "__s"], "left_semi")
         .groupBy("__id", TEXT_KEY)
-        .agg(F.collect_set(F.struct("__place", "__s")).alias("__places"))
+        .agg(F.collect_set(F.struct("__place", "__s", "__starts")).alias("__places"))
     )
     seen = stored(seen, "places")
     # By shuffle at any size, and as texts, which are smaller than their words.
     texts = docs.select(F.col(doc_id).alias("__id"), text_key(text).alias(TEXT_KEY), F.col(text).alias("__text"))
     again = texts.join(seen.hint("merge"), ["__id", TEXT_KEY]).dropDuplicates(["__id", TEXT_KEY])
-    again = again.withColumn("__dw", template_words(F.col("__text"))).select(
-        "__id", TEXT_KEY, F.explode(F.transform("__places", lambda p: windowed(F.col("__dw"), p))).alias("w")
-    )
-    hits = again.select("__id", TEXT_KEY, F.col("w.place").alias("__place"), F.col("w.template").alias("__template"), F.col("w.values").alias("__found")).join(
+    again = again.select("__id", TEXT_KEY, "__places", F.explode(both_forms(F.col("__text"))).alias("__f"))
+    there = F.filter("__places", lambda p: p["__starts"] == F.col("__f.starts"))
+    again = again.select("__id", TEXT_KEY, F.col("__f.starts").alias("__starts"), F.explode(F.transform(there, lambda p: windowed(F.col("__f.words"), p))).alias("w"))
+    hits = again.select("__id", TEXT_KEY, "__starts", F.col("w.place").alias("__place"), F.col("w.template").alias("__template"), F.col("w.values").alias("__found")).join(
         sent(cut), "__template"
     )
-    where = ["__id", TEXT_KEY, "__item", "__form"]
+    where = ["__id", TEXT_KEY, "__starts", "__item", "__form"]
     exchanged = F.array_distinct(
         F.flatten(F.collect_list(F.zip_with("__values", "__found", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))))
     )

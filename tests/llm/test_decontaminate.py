@@ -58,3 +58,16 @@ def test_empty_tables(frame):
     assert found(frame, []) == {}
     none = contaminated(frame([(1, ITEM)], "doc_id long, text string"), frame([], "item_id long, text string"))
     assert none.count() == 0
+
+
+def found_items(frame, items, docs):
+    out = contaminated(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string"))
+    return {(r["doc_id"], r["item_id"]): r["exact"] for r in out.collect()}
+
+
+def test_names_that_open_a_sentence(frame):
+    item = "In 3 days a shop sells 40 pens. Anna buys 5 of them and pays 2 dollars"
+    asked = item.replace("Anna", "Eve").replace("buys 5", "buys 55")
+    chance = item.replace("3 days", "2 days").replace("Anna", "Eve").replace("buys 5", "buys 2")
+    got = found_items(frame, [(1, item)], [(1, "Some words. " + asked), (2, item.lower()), (3, chance)])
+    assert got == {(1, 1): False, (2, 1): True}
