@@ -73,21 +73,26 @@ def bare(word: Column) -> Column:
     return F.when(is_slot(word), F.substring(word, 1, 3)).otherwise(word)
 
 
+def template(part: Column) -> Column:
+    """Template words of a window; where half or more are placeholders these keep their values."""
+    return F.when(F.size(F.filter(part, is_slot)) * 2 < F.size(part), F.transform(part, bare)).otherwise(part)
+
+
 def window_hashes(words: Column, size: int) -> Column:
     """Hashes of the templates of all windows of `size` words, by place; empty for shorter texts."""
-    templates = F.when(F.exists(words, is_slot), F.transform(words, bare)).otherwise(words)
-    return let(
-        templates,
-        lambda t: F.when(F.size(t) < size, F.array().cast("array<long>")).otherwise(
-            F.transform(F.sequence(F.lit(1), F.size(t) - size + 1), lambda i: F.xxhash64(F.slice(t, i, size)))
-        ),
+
+    def hashes(hash_of) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda i: hash_of(F.slice(words, i, size)))
+
+    return F.when(F.size(words) < size, F.array().cast("array<long>")).otherwise(
+        F.when(F.exists(words, is_slot), hashes(lambda part: let(part, lambda w: F.xxhash64(template(w))))).otherwise(hashes(F.xxhash64))
     )
 
 
 def window_at(words: Column, place: Column, size: Column) -> tuple[Column, Column]:
     """Template and slot values of one window."""
     part = F.slice(words, place + 1, size)
-    return F.array_join(F.transform(part, bare), " "), F.filter(part, is_slot)
+    return let(part, lambda w: F.array_join(template(w), " ")), F.filter(part, is_slot)
 
 
 def contaminated(
@@ -113,8 +118,8 @@ def contaminated(
     documents are read; a larger one is joined by shuffle.  Then the documents with such
     places are read again and the templates themselves are compared.
 
-    Windows of which half or more are placeholders say too little and are left out, as
-    are items of fewer than SHORTEST words; items shorter than a window are found as
+    Windows of which half or more are placeholders say too little and count only with the
+    same values.  Left out are items of fewer than SHORTEST words; items shorter than a window are found as
     wholes.  NULL and empty texts and rows without an id match nothing.  Rows of one id
     are one document, found if one of its texts is.
     """
@@ -124,12 +129,11 @@ def contaminated(
     # Items and documents have a second form, in which names may open a sentence.
     items = items.select("__item", F.explode(both_forms(F.col("__it"))["words"]).alias("__iw"))
     items = items.filter(F.size("__iw") >= SHORTEST).distinct().withColumn("__size", F.least(F.size("__iw"), F.lit(window)))
-    template, values = window_at(F.col("__iw"), F.col("__at"), F.col("__size"))
+    words, values = window_at(F.col("__iw"), F.col("__at"), F.col("__size"))
     cut = (
         items.withColumn("__form", F.xxhash64("__iw"))
         .select("*", F.explode(F.sequence(F.lit(0), F.size("__iw") - F.col("__size"))).alias("__at"))
-        .select("__item", "__form", "__size", "__at", template.alias("__template"), values.alias("__values"))
-        .filter(F.size("__values") * 2 < F.col("__size"))
+        .select("__item", "__form", "__size", "__at", words.alias("__template"), values.alias("__values"))
     )
     cut = stored(cut.withColumn("__hash", F.xxhash64(F.split("__template", " "))), "windows")
     small = cut.count() <= BROADCAST_ROWS
@@ -195,5 +199,5 @@ def contaminated(
 
 
 def windowed(words: Column, p: Column) -> Column:
-    template, values = window_at(words, p["__place"], p["__s"])
-    return F.struct(p["__place"].alias("place"), template.alias("template"), values.alias("values"))
+    found, values = window_at(words, p["__place"], p["__s"])
+    return F.struct(p["__place"].alias("place"), found.alias("template"), values.alias("values"))

@@ -71,3 +71,9 @@ def test_names_that_open_a_sentence(frame):
     chance = item.replace("3 days", "2 days").replace("Anna", "Eve").replace("buys 5", "buys 2")
     got = found_items(frame, [(1, item)], [(1, "Some words. " + asked), (2, item.lower()), (3, chance)])
     assert got == {(1, 1): False, (2, 1): True}
+
+
+def test_items_of_numbers_are_found_with_their_values_only(frame):
+    item = "12 + 34 = 46 and 46 - 12 = 34 and 34 * 2 = 68"
+    docs = [(1, f"we read {item} there"), (2, "we read 13 + 35 = 48 and 48 - 13 = 35 and 35 * 3 = 70 there"), (3, "12 " * 300)]
+    assert found_items(frame, [(1, item)], docs) == {(1, 1): True}
