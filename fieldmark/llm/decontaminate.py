@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fieldmark.llm.common import TEXT_KEY, let, text_key, whole_text
 from fieldmark.session import stored
 
-WINDOW = 8
+WINDOW = 5
 SHORTEST = 5
 COVERED = 0.5
 BROADCAST_ROWS = 1_000_000
@@ -107,8 +107,8 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, n_windows, share, exact) for each document and benchmark item in it.
 
-    `share` is the part of the item's template windows that stand in the document,
-    `covered` or more.  `exact` tells whether all values there are the item's own.
+    `share` is the part of the item's words that lie in template windows found in the
+    document, `covered` or more, so that a changed word costs few others.  `exact` tells whether all values there are the item's own.
     Otherwise the item was asked with other values: in one alignment each value must
     have been replaced by one value wherever it stands, and different values by
     different ones; an alignment that fails is chance and does not count.
@@ -133,7 +133,7 @@ def contaminated(
     cut = (
         items.withColumn("__form", F.xxhash64("__iw"))
         .select("*", F.explode(F.sequence(F.lit(0), F.size("__iw") - F.col("__size"))).alias("__at"))
-        .select("__item", "__form", "__size", "__at", words.alias("__template"), values.alias("__values"))
+        .select("__item", "__form", "__size", F.size("__iw").alias("__all"), "__at", words.alias("__template"), values.alias("__values"))
     )
     cut = stored(cut.withColumn("__hash", F.xxhash64(F.split("__template", " "))), "windows")
     small = cut.count() <= BROADCAST_ROWS
@@ -177,20 +177,25 @@ def contaminated(
         F.flatten(F.collect_list(F.zip_with("__values", "__found", lambda a, b: F.struct(a.alias("item"), b.alias("doc")))))
     )
     aligned = hits.groupBy(*where, (F.col("__place") - F.col("__at")).alias("__shift")).agg(
-        F.collect_set("__at").alias("__ats"), exchanged.alias("__pairs")
+        F.collect_set("__at").alias("__ats"), F.min("__size").alias("__size"), F.min("__all").alias("__all"), exchanged.alias("__pairs")
     )
     exact = F.forall("__pairs", lambda p: p["item"] == p["doc"])
     one_to_one = (F.size(F.array_distinct(F.transform("__pairs", lambda p: p["item"]))) == F.size("__pairs")) & (
         F.size(F.array_distinct(F.transform("__pairs", lambda p: p["doc"]))) == F.size("__pairs")
     )
-    whole = cut.groupBy("__item", "__form").agg(F.count_distinct("__at").alias("__all"))
+    # All windows of an item have one size.
+    places = F.flatten(F.transform("__ats", lambda at: F.sequence(at, at + F.col("__size") - 1)))
     found = (
         aligned.filter(exact | one_to_one)
         .withColumn("__exact", exact)
         .groupBy(*where)
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("__ats")))).alias("__n"), F.max("__exact").alias("__exact"))
-        .join(sent(whole), ["__item", "__form"])
-        .withColumn("__share", F.col("__n") / F.col("__all"))
+        .agg(
+            F.size(F.array_distinct(F.flatten(F.collect_list("__ats")))).alias("__n"),
+            F.size(F.array_distinct(F.flatten(F.collect_list(places)))).alias("__words"),
+            F.min("__all").alias("__all"),
+            F.max("__exact").alias("__exact"),
+        )
+        .withColumn("__share", F.col("__words") / F.col("__all"))
         .filter(F.col("__share") >= covered)
     )
     return found.groupBy(F.col("__id").alias(doc_id), F.col("__item").alias(item_id)).agg(

@@ -77,3 +77,15 @@ def test_items_of_numbers_are_found_with_their_values_only(frame):
     item = "12 + 34 = 46 and 46 - 12 = 34 and 34 * 2 = 68"
     docs = [(1, f"we read {item} there"), (2, "we read 13 + 35 = 48 and 48 - 13 = 35 and 35 * 3 = 70 there"), (3, "12 " * 300)]
     assert found_items(frame, [(1, item)], docs) == {(1, 1): True}
+
+
+def test_changed_words_and_partial_passages(frame):
+    short = [f"short{chr(97 + i)}" for i in range(15)]
+    long = [f"long{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(38)]
+
+    def changed(words, *places):
+        return "before it " + " ".join("other" if i in places else w for i, w in enumerate(words)) + " after it"
+
+    added = " ".join([*long[:9], "more", *long[9:20], "words", *long[21:]])
+    docs = [(1, changed(short, 7)), (2, changed(long, 12, 25)), (3, changed(long, 9, 18, 28)), (4, "x y " + " ".join(long[9:29])), (5, added), (6, "x y " + " ".join(long[:18]))]
+    assert set(found_items(frame, [(1, " ".join(short)), (2, " ".join(long))], docs)) == {(1, 1), (2, 2), (3, 2), (4, 2), (5, 2)}
