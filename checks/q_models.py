@@ -187,6 +187,23 @@ def train_multinomial_shares(t: Tables):
     return out.select("o_orderkey", *[r6(f"probability_{i}", 4).alias(f"probability_{i}") for i in range(3)])
 
 
+@query(
+    "train_boosted_classes_shares",
+    f"""WITH {HALVES}, kinds AS (SELECT o_orderkey, early, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS kind
+      FROM halves JOIN orders USING (o_orderkey)),
+    shares AS (SELECT early, avg(CASE WHEN kind = 0 THEN 1 ELSE 0 END) AS a, avg(CASE WHEN kind = 1 THEN 1 ELSE 0 END) AS b,
+      avg(CASE WHEN kind = 2 THEN 1 ELSE 0 END) AS c FROM kinds GROUP BY 1)
+    SELECT o_orderkey, round(a, 4) AS probability_0, round(b, 4) AS probability_1, round(c, 4) AS probability_2 FROM kinds JOIN shares USING (early)""",
+)
+def train_boosted_classes_shares(t: Tables):
+    """On one yes/no feature three classes boosted jointly come to their shares in each half."""
+    kind = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    data = halves(t).join(t.orders.select("o_orderkey", kind.alias("kind")), "o_orderkey")
+    model = train.train_boosted(data, ["early"], "kind", "multinomial", trees=20, depth=1, rate=1.0)
+    out = score.score_classes(model, data, ["o_orderkey"], [0, 1, 2])
+    return out.select("o_orderkey", *[r6(f"probability_{i}", 4).alias(f"probability_{i}") for i in range(3)])
+
+
 @query(
     "score_threshold_shares",
     f"WITH {HALVES} SELECT o_orderkey, round(p, 4) AS score FROM halves JOIN means USING (early) WHERE p >= (SELECT avg(p) FROM means)",
@@ -213,6 +230,33 @@ def formula_interaction_cells(t: Tables):
     return out.select("Origin", F.col("DayOfWeek").cast("int").alias("DayOfWeek"), r6("predicted", 4).alias("predicted"))
 
 
+@query(
+    "formula_of_every_flight",
+    """WITH cells AS (SELECT Origin, DayOfWeek, avg(ArrDelay) AS mean FROM flights WHERE DayOfWeek <= 5 GROUP BY 1, 2)
+    SELECT Origin, DayOfWeek, round(mean, 4) AS predicted FROM flights LEFT JOIN cells USING (Origin, DayOfWeek)""",
+    "flights",
+)
+def formula_of_every_flight(t: Tables):
+    """One row per flight, though ids repeat and two days are new to the model."""
+    data = t.flights.withColumn("DayOfWeek", F.col("DayOfWeek").cast("string"))
+    model = train.train_formula(data.filter(F.col("DayOfWeek").cast("int") <= 5), "ArrDelay ~ Origin:DayOfWeek", LinearRegression(fitIntercept=False))
+    out = score.score_model(model, data, ["Origin", "DayOfWeek"], "predicted", None)
+    return out.select("Origin", F.col("DayOfWeek").cast("int").alias("DayOfWeek"), r6("predicted", 4).alias("predicted"))
+
+
+@query(
+    "formula_slopes_by_group",
+    """WITH s AS (SELECT Origin, regr_slope(ArrDelay, CRSDepTime) AS slope, regr_intercept(ArrDelay, CRSDepTime) AS base FROM flights GROUP BY 1)
+    SELECT Origin, CRSDepTime, round(base + slope * CRSDepTime, 3) AS predicted FROM flights JOIN s USING (Origin)""",
+    "flights",
+)
+def formula_slopes_by_group(t: Tables):
+    """A factor, a number and their cross: a line of its own for each level."""
+    model = train.train_formula(t.flights, "ArrDelay ~ Origin*CRSDepTime", LinearRegression(solver="normal"))
+    out = score.score_model(model, t.flights, ["Origin", "CRSDepTime"], "predicted", None)
+    return out.withColumn("predicted", r6("predicted", 3))
+
+
 PAIR = """pair AS (SELECT cust_id, avg(b1) OVER (PARTITION BY b2) AS b1, avg(b2) OVER (PARTITION BY b1) AS b2 FROM purchases)"""
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks.base import CHURN_DAYS, COMPONENTS, ERRORS, Tables, query, r6
 from checks.q_aggregates import TAGS
@@ -14,6 +15,7 @@ from fieldmark.models import train
 from fieldmark.operators.metrics import class_report, mape, regression_metrics
 from fieldmark.plans import churn, energy, maintenance, retail, rul
 from fieldmark.session import work_folder
+from fieldmark.sources.versions import read_table
 from fieldmark.streaming import arrivals
 
 SENSORS = maintenance.SENSORS
@@ -205,7 +207,7 @@ def stream_tumbling(t: Tables):
     stream = event_stream(t).withColumn("hundredths", F.round(F.col("value") * 100)).withColumn("ts", F.col("ts").cast("timestamp"))
     means = arrivals.tumbling_means(stream, "ts", ["event_type"], "hundredths")
     arrivals.store_tumbling(means, f"{base}/windows", ["event_type"], f"{base}/state").awaitTermination()
-    stored = t.spark.read.parquet(f"{base}/windows")
+    stored = read_table(t.spark, f"{base}/windows")
     return stored.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "mean_hundredths", "n")
 
 
@@ -221,8 +223,45 @@ def stream_upsert(t: Tables):
         "user_id", hour.alias("hour"), F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "value", "ts", "event_id"
     )
     arrivals.stream_upsert(rows, f"{base}/table", ["user_id", "hour"], "day", ["ts", "event_id"], f"{base}/state").awaitTermination()
-    # The day is read back from folder names.
-    return t.spark.read.schema("user_id BIGINT, hour TIMESTAMP_NTZ, event_type STRING, value DOUBLE, event_id BIGINT, day STRING").parquet(f"{base}/table")
+    return read_table(t.spark, f"{base}/table").drop("ts")
+
+
+@query(
+    "stream_upsert_in_parts",
+    """SELECT user_id, strftime(ts, '%Y-%m') AS month, arg_max(event_type, (ts, event_id)) AS event_type, max(ts) AS ts, arg_max(event_id, (ts, event_id)) AS event_id
+    FROM events GROUP BY 1, 2""",
+)
+def stream_upsert_in_parts(t: Tables):
+    """The newest event of a user and month, from four files in falling order of time."""
+    base = work_folder(t.spark, "parts")
+    rows = t.events.select("user_id", F.date_format("ts", "yyyy-MM").alias("month"), "event_type", "ts", "event_id")
+    quarters = F.ntile(4).over(Window.orderBy(F.col("first").desc()))
+    months = rows.groupBy("month").agg(F.min("ts").alias("first")).select("month", quarters.alias("file"))
+    dealt = rows.join(months, "month")
+    for part in range(1, 5):
+        dealt.filter(F.col("file") == part).drop("file").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    arrivals.stream_upsert(stream, f"{base}/table", ["user_id"], "month", ["ts", "event_id"], f"{base}/state").awaitTermination()
+    return read_table(t.spark, f"{base}/table")
+
+
+# Windows are final once the watermark, the newest time minus 20 minutes, has passed their end.
+FINAL = """w AS (SELECT event_type, time_bucket(INTERVAL '15 minutes', ts) AS window_start, avg(round(value * 100)) AS mean_hundredths, count(*) AS n
+    FROM events GROUP BY 1, 2),
+  newest AS (SELECT max(ts) - INTERVAL '20 minutes' AS mark FROM events)"""
+
+
+@query(
+    "stream_final_windows",
+    f"WITH {FINAL} SELECT w.* FROM w, newest WHERE window_start + INTERVAL '15 minutes' <= mark",
+)
+def stream_final_windows(t: Tables):
+    base = work_folder(t.spark, "final")
+    stream = event_stream(t).withColumn("hundredths", F.round(F.col("value") * 100)).withColumn("ts", F.col("ts").cast("timestamp"))
+    means = arrivals.tumbling_means(stream, "ts", ["event_type"], "hundredths")
+    arrivals.final_windows(means, f"{base}/windows", f"{base}/state").awaitTermination()
+    stored = t.spark.read.parquet(f"{base}/windows")
+    return stored.select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "mean_hundredths", "n")
 
 
 @query(

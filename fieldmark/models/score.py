@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from functools import reduce
 
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import RFormulaModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,22 +20,6 @@ def known_vector(name: str) -> Column:
     return F.coalesce(F.col(name), array_to_vector(F.array().cast("array<double>")))
 
 
-def every_row(model: PipelineModel, df: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """The model's columns for every row of `df`.
-
-    A formula drops rows with unknown values or levels it has not seen.  They are
-    joined back by `ids`, which then have to tell the rows apart.
-    """
-    scored = apply_model(model, df)
-    if not any(isinstance(s, RFormulaModel) for s in model.stages):
-        return scored
-    added = [c for c in ("prediction", "probability") if c in scored.columns]
-    found = scored.select(*[F.col(c).alias(f"_id_{c}") for c in ids], *added)
-    given = df.select(*ids)
-    same = reduce(lambda a, c: a & given[c].eqNullSafe(found[f"_id_{c}"]), ids, F.lit(True))
-    return given.join(found, same, "left").select(*[given[c] for c in ids], *added)
-
-
 def score_model(
     model: PipelineModel, df: DataFrame, ids: Sequence[str], name: str = "score", class_index: int | None = 1
 ) -> DataFrame:
@@ -45,7 +27,7 @@ def score_model(
 
     Every row of `df` gets one: NULL where a feature is NULL or a level was not seen.
     """
-    scored = every_row(model, df, ids)
+    scored = apply_model(model, df)
     if class_index is not None and "probability" in scored.columns:
         value = F.when(F.col("probability").isNotNull(), vector_to_array(known_vector("probability"))[class_index])
     else:
@@ -57,9 +39,11 @@ def score_classes(
     model: PipelineModel, df: DataFrame, ids: Sequence[str], classes: Sequence, name: str = "predicted"
 ) -> DataFrame:
     """Identity columns with the predicted class and, if known, each probability; NULL as in `score_model`."""
-    scored = every_row(model, df, ids)
+    scored = apply_model(model, df)
     labels = F.array(*[F.lit(c) for c in classes])
-    columns = [F.element_at(labels, F.col("prediction").cast("int") + 1).alias(name)]
+    # An unknown index would be read as some place of the array.
+    chosen = F.when(F.col("prediction").isNotNull(), F.element_at(labels, F.coalesce(F.col("prediction").cast("int"), F.lit(0)) + 1))
+    columns = [chosen.alias(name)]
     if "probability" in scored.columns:
         share, known = vector_to_array(known_vector("probability")), F.col("probability").isNotNull()
         columns += [F.when(known, share[i]).alias(f"probability_{c}") for i, c in enumerate(classes)]

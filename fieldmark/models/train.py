@@ -14,12 +14,10 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     MultilayerPerceptronClassifier,
-    OneVsRest,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import (
     OneHotEncoder,
-    RFormula,
     StandardScaler,
     StringIndexerModel,
     VectorAssembler,
@@ -34,6 +32,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldmark.models.boosting import train_boosted_classes
+from fieldmark.models.formula import formula_pipeline, unseen
 from fieldmark.operators.metrics import regression_metrics
 from fieldmark.operators.reshape import bind_metrics
 
@@ -70,22 +70,33 @@ def fit(df: DataFrame, features: Sequence[str], label: str, estimator: Estimator
 
 
 def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """All rows of `df` with the model's columns; NULL predictions where a feature is unknown.
-
-    For models that assemble columns.  A formula leaves out rows with levels it has not
-    seen: see `score_model`.
-    """
-    assembled = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
-    unknown = reduce(
-        lambda found, c: found | (F.col(c).isNull() | F.isnan(c) if dict(df.dtypes).get(c) in ("double", "float") else F.col(c).isNull()),
-        [c for c in assembled if c in df.columns],
-        F.lit(False),
-    )
+    """All rows of `df` with the model's columns; NULL predictions where a feature is unknown
+    or a level of a factor was not seen."""
     scored = model.transform(df)
+    kinds = dict(scored.dtypes)
+    assembled = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    missing = [
+        F.col(f"`{c}`").isNull() | F.isnan(f"`{c}`") if kinds[c] in ("double", "float") else F.col(f"`{c}`").isNull()
+        for c in assembled
+        if c in kinds and c not in made_by(model)
+    ]
+    unknown = reduce(lambda found, c: found | c, missing + unseen(model, scored), F.lit(False))
     given = [c for c in ("prediction", "probability", "rawPrediction") if c in scored.columns and c not in df.columns]
     return scored.withColumns({c: F.when(~unknown, F.col(c)) for c in given})
 
 
+def made_by(model: PipelineModel) -> set[str]:
+    """Vectors and figures that stages after the first encoding make of known columns."""
+    out: set[str] = set()
+    for s in model.stages:
+        for name in ("outputCol", "predictionCol", "probabilityCol", "rawPredictionCol"):
+            if s.hasParam(name) and s.isDefined(name):
+                out.add(s.getOrDefault(name))
+        if s.hasParam("outputCols") and s.isDefined("outputCols"):
+            out |= set(s.getOrDefault("outputCols"))
+    return out
+
+
 def train_linear(df: DataFrame, features: Sequence[str], label: str, **params) -> PipelineModel:
     return fit(df, features, label, LinearRegression(labelCol=label, **params))
 
@@ -145,10 +156,9 @@ def train_boosted(
     rate: float = 0.1,
     **params,
 ) -> PipelineModel:
-    """Boosted trees: bernoulli (0/1 label), gaussian (number) or multinomial.
+    """Boosted trees: bernoulli (0/1 label), gaussian (number) or multinomial (0, 1, ..).
 
-    Spark boosts two classes at a time, so several classes are one model per
-    class against the rest.
+    Several classes are boosted jointly, see `boosting`.
     """
     common = {"maxIter": trees, "maxDepth": depth, "stepSize": rate, "seed": SEED, **params}
     if loss == "gaussian":
@@ -157,7 +167,7 @@ def train_boosted(
     if loss == "bernoulli":
         return fit(df, features, label, two_class)
     if loss == "multinomial":
-        return fit(df, features, label, OneVsRest(classifier=two_class, labelCol=label))
+        return train_boosted_classes(df, features, label, trees, checked_depth(depth), rate, SEED, **params)
     raise ValueError(f"unknown loss {loss}")
 
 
@@ -177,8 +187,12 @@ def train_mlp(
 
 
 def train_formula(df: DataFrame, formula: str, estimator: Estimator) -> PipelineModel:
-    """Fit a formula with factor crosses such as `y ~ a + b:c`."""
-    return fit_kept(Pipeline(stages=[RFormula(formula=formula, handleInvalid="skip"), estimator]), df)
+    """Fit a formula with factor crosses such as `y ~ a + b:c`; the label is a number.
+
+    Rows with an unknown value do not train.  See `formula` for the encoding.
+    """
+    pipeline, rows = formula_pipeline(df, formula, estimator)
+    return fit_kept(pipeline, rows)
 
 
 def declared_factor(spark, column: str, levels: Sequence[str]) -> list:

@@ -11,6 +11,7 @@ from fieldmark.operators.metrics import binary_metrics
 from fieldmark.plans import crosssell, energy, flights, maintenance, matching, retail, rul
 from fieldmark.session import work_folder
 from fieldmark.sources import tables
+from fieldmark.sources.versions import read_table
 from fieldmark.streaming import arrivals
 from tests.conftest import rows_of
 
@@ -149,13 +150,13 @@ def test_stream_upsert_equals_batch(spark):
     _, stream = sensor_files(spark, parts)
     base = work_folder(spark, "t")
     arrivals.stream_upsert(stream, f"{base}/table", ["k", "t"], "day", ["v"], f"{base}/state").awaitTermination()
-    got = rows_of(spark.read.parquet(f"{base}/table"), "k", "v")
+    got = rows_of(read_table(spark, f"{base}/table"), "k", "v")
     assert [g[0] for g in got] == [1, 2, 3] and got[1:] == [(2, 2.0), (3, 3.0)] and got[0][1] == 5.0
     # The same rows again change nothing.
     again = arrivals.latest_per_key(spark.createDataFrame(parts[1], SENSOR), ["k", "t", "day"], ["v"])
     arrivals.upsert_partitions(again, f"{base}/table", ["k", "t"], "day")
     arrivals.upsert_partitions(again, f"{base}/table", ["k", "t"], "day")
-    assert rows_of(spark.read.parquet(f"{base}/table"), "k", "v") == [(1, 5.0), (2, 2.0), (3, 3.0)]
+    assert rows_of(read_table(spark, f"{base}/table"), "k", "v") == [(1, 5.0), (2, 2.0), (3, 3.0)]
 
 
 def test_stream_tumbling_equals_batch(spark):
@@ -166,7 +167,7 @@ def test_stream_tumbling_equals_batch(spark):
     arrivals.store_tumbling(means, f"{base}/w", ["k"], f"{base}/state").awaitTermination()
     columns = ("k", "window_start", "mean_v", "n")
     batch = arrivals.tumbling_means(spark.read.schema(SENSOR).parquet(path), "t", ["k"], "v")
-    assert rows_of(spark.read.parquet(f"{base}/w"), *columns) == rows_of(batch, *columns)
+    assert rows_of(read_table(spark, f"{base}/w"), *columns) == rows_of(batch, *columns)
 
 
 def test_scores_arrive_once(spark, points):
