@@ -265,21 +265,35 @@ def residual_bands(t: Tables):
     return out.select("id2", *[r6(c).alias(c) for c in out.columns if c != "id2"])
 
 
-@query(
-    "residual_acf",
-    f"""WITH {SPINE}, e AS (SELECT id1, id2, row_number() OVER w AS p, coalesce(value, 0) - 25 AS err FROM spine WINDOW w AS (PARTITION BY id1, id2 ORDER BY time)),
+ACF = f"""WITH {SPINE}, e AS (SELECT id1, id2, row_number() OVER w AS p, coalesce(value, 0) - 25 AS err FROM spine WINDOW w AS (PARTITION BY id1, id2 ORDER BY time)),
     d AS (SELECT id1, id2, p, err - avg(err) OVER (PARTITION BY id1, id2) AS d FROM e),
     s AS (SELECT id1, id2, sum(d * d) AS s FROM d GROUP BY 1, 2)
     SELECT a.id1, a.id2, CAST(k AS INTEGER) AS lag, round(sum(a.d * b.d) / any_value(s), 6) + 0.0 AS acf
     FROM d a, (SELECT unnest([1, 2, 3, 4, 5]) AS k), d b, s
-    WHERE b.id1 = a.id1 AND b.id2 = a.id2 AND b.p = a.p - k AND s.id1 = a.id1 AND s.id2 = a.id2 GROUP BY 1, 2, 3""",
-    "sales",
-)
+    WHERE b.id1 = a.id1 AND b.id2 = a.id2 AND b.p = a.p - k AND s.id1 = a.id1 AND s.id2 = a.id2 GROUP BY 1, 2, 3"""
+
+
+@query("residual_acf", ACF, "sales")
 def residual_acf(t: Tables):
     errors = stored(weekly(t), "weekly").select(*KEYS, "pos", (F.coalesce("value", F.lit(0.0)) - 25).alias("error"))
     return m.residual_acf(errors, KEYS, "pos", "error", 5).withColumn("acf", r6("acf"))
 
 
+@query(
+    "residual_pacf",
+    f"""SELECT * FROM (WITH RECURSIVE ac AS (SELECT id1, id2, list(acf ORDER BY lag) AS r FROM ({ACF.replace("round(sum(a.d * b.d) / any_value(s), 6) + 0.0", "sum(a.d * b.d) / any_value(s)")}) GROUP BY 1, 2),
+    steps AS (SELECT id1, id2, r, 1 AS k, [r[1]] AS phi, r[1] AS p FROM ac UNION ALL
+      SELECT id1, id2, r, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - q * phi[k + 1 - j]), q), q FROM (
+        SELECT *, (r[k + 1] - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k + 1 - j])))
+          / (1 - list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j]))) AS q FROM steps WHERE k < 5))
+    SELECT id1, id2, k AS lag, round(r[k], 6) + 0.0 AS acf, round(p, 5) + 0.0 AS pacf FROM steps)""",
+    "sales",
+)
+def residual_pacf(t: Tables):
+    errors = stored(weekly(t), "weekly").select(*KEYS, "pos", (F.coalesce("value", F.lit(0.0)) - 25).alias("error"))
+    return m.residual_pacf(errors, KEYS, "pos", "error", 5).withColumns({"acf": r6("acf"), "pacf": r6("pacf", 5)})
+
+
 @query(
     "metric_outliers",
     f"""WITH {ACCURACY}, b AS (SELECT method, quantile_cont(mae, 0.25) AS q1, quantile_cont(mae, 0.75) AS q3 FROM acc GROUP BY 1)

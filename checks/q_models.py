@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from checks.base import BRANDS, Tables, cents, query, r6
 from checks.q_aggregates import campaign_performance
-from fieldmark.models import registry, score, train
+from fieldmark.models import normal, registry, score, train
 from fieldmark.operators.joins import star_join
 from fieldmark.operators.metrics import binary_metrics, regression_metrics
 from fieldmark.operators.reshape import best_by_rmse, bind_metrics
@@ -281,6 +281,71 @@ def recommendations_pair(t: Tables):
     return crosssell.recommendations(t.purchases, "cust_id", ["b1", "b2"], tol=1e-10)
 
 
+HOLES = "SELECT cust_id, CASE WHEN cust_id % 7 <> 0 THEN b1 END AS b1, CASE WHEN cust_id % 11 <> 0 THEN b2 END AS b2 FROM purchases"
+
+
+def with_holes(t: Tables):
+    """Purchases of two products, with customers of whom one or both flags are not known."""
+    kept = {"b1": F.when(F.col("cust_id") % 7 != 0, F.col("b1")), "b2": F.when(F.col("cust_id") % 11 != 0, F.col("b2"))}
+    return t.purchases.select("cust_id", "b1", "b2").withColumns(kept)
+
+
+@query(
+    "predictions_with_unknown_flags",
+    f"""WITH h AS ({HOLES}), k AS (SELECT * FROM h WHERE b1 IS NOT NULL AND b2 IS NOT NULL),
+    p1 AS (SELECT b2, avg(b1) AS p FROM k GROUP BY 1), p2 AS (SELECT b1, avg(b2) AS p FROM k GROUP BY 1)
+    SELECT cust_id, round(p1.p, 4) AS b1, round(p2.p, 4) AS b2 FROM h LEFT JOIN p1 ON h.b2 = p1.b2 LEFT JOIN p2 ON h.b1 = p2.b1""",
+    "purchases",
+)
+def predictions_with_unknown_flags(t: Tables):
+    """A model is silent where the flag it reads is not known; every customer has a row."""
+    data = with_holes(t)
+    models = train.one_model_per_target(data.dropna(), ["b1", "b2"], tol=1e-10)
+    out = score.predictions_by_target(models, data, ["cust_id"])
+    return out.withColumns({"b1": r6("b1", 4), "b2": r6("b2", 4)})
+
+
+@query(
+    "recommendations_with_unknown_flags",
+    f"""WITH h AS ({HOLES}), k AS (SELECT * FROM h WHERE b1 IS NOT NULL AND b2 IS NOT NULL),
+    p1 AS (SELECT b2, avg(b1) AS p FROM k GROUP BY 1), p2 AS (SELECT b1, avg(b2) AS p FROM k GROUP BY 1),
+    s AS (SELECT cust_id, coalesce(p1.p, -1) AS x, coalesce(p2.p, -1) AS y FROM h LEFT JOIN p1 ON h.b2 = p1.b2 LEFT JOIN p2 ON h.b1 = p2.b1)
+    SELECT cust_id, CASE WHEN x >= y THEN 'b1' ELSE 'b2' END AS Product1, CASE WHEN x >= y THEN 'b2' ELSE 'b1' END AS Product2 FROM s""",
+    "purchases",
+)
+def recommendations_with_unknown_flags(t: Tables):
+    return crosssell.recommendations(with_holes(t), "cust_id", ["b1", "b2"], tol=1e-10)
+
+
+@query(
+    "linear_fits",
+    """SELECT id1, id2, count(*) AS n, round(regr_slope(value, x), 4) + 0.0 AS slope, round(regr_intercept(value, x), 2) + 0.0 AS base FROM (
+      SELECT id1, id2, value, date_diff('day', DATE '1992-01-01', CAST(time AS DATE)) / 7 AS x FROM sales) GROUP BY 1, 2""",
+    "sales",
+)
+def linear_fits(t: Tables):
+    """A line through the weeks of each series, all in one shuffle."""
+    weeks = F.datediff(F.col("time").cast("date"), F.lit("1992-01-01").cast("date")) / 7
+    fits = normal.linear_fits(t.sales.withColumn("x", weeks), ["id1", "id2"], ["x"], "value")
+    return fits.select("id1", "id2", "n", r6(F.get("coefficients", F.lit(0)), 4).alias("slope"), r6("intercept", 2).alias("base"))
+
+
+@query(
+    "linear_fits_two_features",
+    """WITH c AS (SELECT Origin, Dest, avg(x) AS mx, avg(z) AS mz, avg(y) AS my, covar_pop(x, x) AS xx, covar_pop(z, z) AS zz, covar_pop(x, z) AS xz,
+        covar_pop(x, y) AS xy, covar_pop(z, y) AS zy FROM (SELECT Origin, Dest, CRSDepTime AS x, CAST(DayOfWeek AS DOUBLE) AS z, ArrDelay AS y FROM flights) GROUP BY 1, 2),
+    b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b1, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS b2 FROM c)
+    SELECT Origin, Dest, CRSDepTime, DayOfWeek, round(my - b1 * mx - b2 * mz + b1 * CRSDepTime + b2 * DayOfWeek, 4) AS score FROM flights JOIN b USING (Origin, Dest)""",
+    "flights",
+)
+def linear_fits_two_features(t: Tables):
+    """The normal equation of two features per pair of airports, applied to every flight."""
+    keys, features = ["Origin", "Dest"], ["CRSDepTime", "DayOfWeek"]
+    fits = normal.linear_fits(t.flights, keys, features, "ArrDelay")
+    out = normal.apply_fits(t.flights, fits, keys, features)
+    return out.select(*keys, *features, r6("score", 4).alias("score"))
+
+
 @query("train_multinomial")
 def train_multinomial(t: Tables):
     model = train.train_multinomial(cycles(t), SENSORS, "label2", maxIter=20)

@@ -7,12 +7,14 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldmark.models.train import apply_model
+from fieldmark.session import measured
 
 
 def known_vector(name: str) -> Column:
@@ -151,14 +153,39 @@ def parallel_apply(
     return function(df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values]))))
 
 
+def flag_pattern(flags: Sequence[str]) -> Column:
+    """The values of the flags as one text, unknown ones included, so that equal rows are found by one key."""
+    return F.concat_ws(",", *[F.coalesce(F.col(f).cast("string"), F.lit("?")) for f in flags])
+
+
+def predictions_by_pattern(models: Mapping[str, PipelineModel], df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """_pattern and one probability column per target, for each distinct pattern of the flags.
+
+    A flag that is NULL is unknown to every model that reads it, whose probability is NULL.
+    """
+    patterns = df.select(*flags, flag_pattern(flags).alias("_pattern")).groupBy("_pattern")
+    out = patterns.agg(*[F.any_value(f).alias(f) for f in flags])
+    for target, model in models.items():
+        scored = apply_model(model, out)
+        share = F.when(F.col("probability").isNotNull(), vector_to_array(known_vector("probability"))[1])
+        out = scored.withColumn(f"_p_{target}", share).drop("features", "rawPrediction", "probability", "prediction")
+    return out.select("_pattern", *[F.col(f"_p_{t}").alias(t) for t in models])
+
+
+def used_flags(models: Mapping[str, PipelineModel]) -> list[str]:
+    assembled = [c for m in models.values() for s in m.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    return list(dict.fromkeys(assembled))
+
+
 def predictions_by_target(
     models: Mapping[str, PipelineModel], df: DataFrame, ids: Sequence[str]
 ) -> DataFrame:
-    """One probability column per target, all added in the same pass."""
-    out = df
-    for target, model in models.items():
-        out = model.transform(out)
-        out = out.withColumn(f"_p_{target}", vector_to_array("probability")[1]).drop(
-            "features", "rawPrediction", "probability", "prediction"
-        )
-    return out.select(*ids, *[F.col(f"_p_{t}").alias(t) for t in models])
+    """One probability column per target for every row, NULL where a feature is NULL.
+
+    All models score each distinct pattern of features once, and rows take the figures of
+    their pattern: customers are many, patterns of flags are few.
+    """
+    flags = used_flags(models)
+    figures = measured(predictions_by_pattern(models, df, flags))
+    rows = df.select(*ids, flag_pattern(flags).alias("_pattern"))
+    return rows.join(figures, "_pattern").select(*ids, *models)

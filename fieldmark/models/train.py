@@ -217,7 +217,7 @@ def one_model_per_target(
 
     def train(target: str) -> PipelineModel:
         others = [f for f in flags if f != target]
-        assembler = VectorAssembler(inputCols=others, outputCol="features")
+        assembler = VectorAssembler(inputCols=others, outputCol="features", handleInvalid="keep")
         model = LogisticRegression(labelCol=target, weightCol="_weight", **params)
         return Pipeline(stages=[assembler, model]).fit(patterns)
 

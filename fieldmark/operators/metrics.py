@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.functions.numbers import safe_divide
 from fieldmark.operators.ordered import last_known, over_blocks, running_sums, sort_cells
-from fieldmark.session import measured
+from fieldmark.session import measured, stored
 
 # Fixed value: half width of the 95 % band in standard deviations.
 BAND_95 = 1.96
@@ -315,42 +315,106 @@ def residual_acf(
     return sums.select(*keys, F.inline(cells))
 
 
+def residual_pacf(df: DataFrame, keys: Sequence[str], pos: str, error: str, lags: int = 10) -> DataFrame:
+    """Autocorrelation and partial autocorrelation of the errors at lag 1..lags per series.
+
+    The recursion of Durbin and Levinson is a fold over the autocorrelations of a series,
+    which are one short array, so nothing is read or moved beyond `residual_acf`.  A lag that
+    leaves no variance, or a series without spread, has NULL from there on.
+    """
+    acf = residual_acf(df, keys, pos, error, lags)
+    series = acf.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"]).alias("_r"))
+
+    def dot(a: Column, b: Column) -> Column:
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+
+    def step(state: Column, k: Column) -> Column:
+        known, r = state["phi"], F.slice("_r", 1, k - 1)
+        left = F.lit(1.0) - dot(known, r)
+        here = safe_divide(F.get("_r", k - 1) - dot(known, F.reverse(r)), left)
+        # Computed once: the new coefficient is used for each of the others.
+        moved = F.transform(
+            F.array(here),
+            lambda p: F.struct(
+                F.concat(F.zip_with(known, F.reverse(known), lambda x, y: x - p * y), F.array(p)).alias("phi"),
+                F.concat(state["out"], F.array(p)).alias("out"),
+            ),
+        )
+        return F.get(moved, F.lit(0))
+
+    none = F.array().cast("array<double>")
+    folded = F.aggregate(F.sequence(F.lit(1), F.lit(lags)), F.struct(none.alias("phi"), none.alias("out")), step, lambda s: s["out"])
+    both = F.arrays_zip(F.sequence(F.lit(1), F.lit(lags)).alias("lag"), F.col("_r").alias("acf"), folded.alias("pacf"))
+    return series.select(*keys, F.inline(both).alias("lag", "acf", "pacf"))
+
+
+# Rank error allowed to the first look at quantiles is 1 / this; it only decides how much is looked at again.
+SKETCH = 10_000
+
+
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], most: int = 200_000
 ) -> DataFrame:
-    """Interpolated quantiles per group, without a group in one task.
+    """Interpolated quantiles per group, exact, without sorting a group.
 
-    Equal values are merged first, the distinct ones are sorted across tasks,
-    and the values at the two wanted ranks are picked by running count.
+    A first aggregate brackets every wanted rank by sketches that merge.  A second look
+    counts what lies below each bracket, and the distinct values inside, about 4 in
+    SKETCH of the rows; only these are ordered.  `df` is read twice, so store it if it is
+    costly.  Brackets with more than `most` distinct values are ordered across tasks.
     """
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ordered = sort_cells(counts, [*keys, value], "_sorted")
-    running = running_sums(ordered, keys, [value], F.col("_sorted"), {"_upto": F.col("_n")})
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    ranked = running.join(measured(sizes), keys, "inner") if keys else running.withColumn("_size", sizes.scalar())
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    ends = [(max(p - 2 / SKETCH, 0.0), min(p + 2 / SKETCH, 1.0)) for p in probs.values()]
+    sketch = F.percentile_approx("_v", [e for pair in ends for e in pair], SKETCH)
+    seen = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), sketch.alias("_at"))
+    # Of few rows the bracket might be narrower than the step from one rank to the next.
+    few = F.col("_size") <= 5 * SKETCH
+    brackets = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("q"),
+                (F.col("_min") if low == 0 else F.when(few, F.col("_min")).otherwise(F.get("_at", F.lit(2 * i)))).alias("low"),
+                (F.col("_max") if high == 1 else F.when(few, F.col("_max")).otherwise(F.get("_at", F.lit(2 * i + 1)))).alias("high"),
+            )
+            for i, (low, high) in enumerate(ends)
+        ]
+    )
+    bounds = measured(seen.select(*keys, "_size", brackets.alias("_b")))
+    placed = rows.join(bounds.select(*keys, "_b"), keys) if keys else rows.withColumn("_b", bounds.select("_b").scalar())
+    # A value below a bracket counts without its value; one above it is not needed.
+    inside = F.transform("_b", lambda b: F.when(F.col("_v") <= b["high"], F.struct(b["q"].alias("q"), F.when(F.col("_v") >= b["low"], F.col("_v")).alias("v"))))
+    spread = placed.select(*keys, F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("x"))
+    counts = stored(spread.groupBy(*keys, F.col("x.q").alias("_q"), F.col("x.v").alias("_v")).agg(F.count(F.lit(1)).alias("_n")), "brackets")
+    group = [*keys, "_q"]
+    widest = counts.groupBy(*group).count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if widest <= most:
+        along = Window.partitionBy(*group).orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        running = counts.withColumn("_upto", F.sum("_n").over(along))
+    else:
+        ordered = sort_cells(counts, [*[F.col(k) for k in group], F.col("_v").asc_nulls_first()], "_sorted")
+        running = running_sums(ordered, group, [F.col("_v").asc_nulls_first()], F.col("_sorted"), {"_upto": F.col("_n")})
+    sized = running.join(bounds.select(*keys, "_size"), keys) if keys else running.withColumn("_size", bounds.select("_size").scalar())
     first = F.col("_upto") - F.col("_n")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < F.col("_upto")), F.col(value)))
-
-    aggs = [F.max("_size").alias("_size")]
-    for name, p in probs.items():
-        rank = (F.col("_size") - 1) * F.lit(p)
-        aggs += [at(F.floor(rank)).alias(f"_lo_{name}"), at(F.ceil(rank)).alias(f"_hi_{name}")]
-    picked = ranked.groupBy(*keys).agg(*aggs)
     out = []
-    for name, p in probs.items():
+    for i, (name, p) in enumerate(probs.items()):
         rank = (F.col("_size") - 1) * F.lit(p)
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((low + (high - low) * (rank - F.floor(rank))).alias(name))
-    return picked.select(*keys, *out)
+
+        def at(wanted: Column, i: int = i) -> Column:
+            return F.max(F.when((F.col("_q") == i) & (first <= wanted) & (wanted < F.col("_upto")), F.col("_v")))
+
+        low, high = at(F.floor(rank)), at(F.ceil(rank))
+        out.append((low + (high - low) * F.max(rank - F.floor(rank))).alias(name))
+    return sized.groupBy(*keys).agg(*out)
 
 
 def metric_outliers(
     metrics: DataFrame, keys: Sequence[str], metric: str
 ) -> DataFrame:
-    """Rows outside the whiskers of their group's box plot."""
+    """Rows outside the whiskers of their group's box plot.
+
+    The metrics are computed once; quartiles and rows are read from what is stored.
+    """
+    metrics = stored(metrics, "metrics")
     quartiles = exact_quantiles(metrics, keys, metric, {"_q1": 0.25, "_q3": 0.75})
     joined = metrics.join(measured(quartiles), list(keys), "inner")
     reach = (F.col("_q3") - F.col("_q1")) * WHISKER

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmark.functions.numbers import hash_order, hash_percent
@@ -76,15 +76,59 @@ def downsample(df: DataFrame, keys: Sequence[str], key: str, ratio: float) -> Da
     return ranked.filter(F.col("_rank") < F.floor(F.col("_size") * F.lit(ratio))).drop("_rank", "_size")
 
 
+def hash_cut(df: DataFrame, key: str, n: int, largest: int = 100_000) -> tuple[str, int]:
+    """(prefix, need): the n rows with the smallest hashes are all rows whose hash lies below
+    `prefix`, and the first `need` of those that start with it.
+
+    Rows are counted by the leading digits of their hash; only the cell in which row n lies is
+    counted again by further digits, until it has no more than `largest` rows.  The driver sees
+    the counts of 4,096 cells at a time.
+    """
+    prefix, need = "", n
+    while len(prefix) < 30:
+        inside = df.filter(F.startswith(full_hash(key), F.lit(prefix))) if prefix else df
+        cells = inside.groupBy(F.substring(full_hash(key), 1, len(prefix) + 3).alias("cell")).count().collect()
+        for cell, size in sorted((r["cell"], r["count"]) for r in cells):
+            if need <= size:
+                prefix = cell
+                break
+            need -= size
+        else:  # fewer rows than asked for
+            return "g", 0
+        if size <= largest or len(prefix) < 3:
+            break
+    return prefix, need
+
+
+def full_hash(key: str) -> Column:
+    """The hash that orders rows; a NULL key comes first."""
+    return F.coalesce(hash_order(F.col(key)), F.lit(""))
+
+
+def below_cut(df: DataFrame, key: str, cut: tuple[str, int]) -> DataFrame:
+    """The rows of `hash_cut`, filtered where they lie; only one small cell is ordered."""
+    prefix, need = cut
+    lower = df.filter(full_hash(key) < prefix)
+    if not need:
+        return lower
+    edge = df.filter(F.startswith(full_hash(key), F.lit(prefix)))
+    return lower.unionByName(edge.orderBy(full_hash(key), key).limit(need))
+
+
 def sample_n(df: DataFrame, key: str, train_rows: int, test_rows: int) -> tuple[DataFrame, DataFrame]:
     """n training rows and m other rows to test on: the first by hash rank.
 
-    Ranks are taken within hash cells, so that no task holds a whole sample.
+    Rows are found by counts of hash cells, so nothing but the rows at the two cuts is
+    ordered or moved, however large the table is.
     """
-    wanted = train_rows + test_rows
-    ranked = with_hash_rank(df, key).drop("_size")
-    rank = F.col("_rank")
-    return (
-        ranked.filter(rank < train_rows).drop("_rank"),
-        ranked.filter((rank >= train_rows) & (rank < wanted)).drop("_rank"),
-    )
+    first, last = (hash_cut(df, key, n) for n in (train_rows, train_rows + test_rows))
+    learn = below_cut(df, key, first)
+    # Between the cuts: whole cells, the rest of the first cut's cell, the start of the last one's.
+    both = below_cut(df, key, last)
+    if first[0] == "g":
+        return learn, both.limit(0)
+    rest = both.filter(full_hash(key) >= first[0])
+    edge = F.startswith(full_hash(key), F.lit(first[0]))
+    after = Window.orderBy(full_hash(key), key)
+    held = rest.filter(edge).withColumn("_rank", F.row_number().over(after)).filter(F.col("_rank") > first[1]).drop("_rank")
+    return learn, rest.filter(~edge).unionByName(held)

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from fieldmark.models.score import predictions_by_target
+from fieldmark.models.score import flag_pattern, predictions_by_pattern, used_flags
 from fieldmark.models.train import one_model_per_target
 from fieldmark.operators.reshape import pivot_ranked, unpivot_scores
 from fieldmark.operators.windows import rank_products
+from fieldmark.session import measured
 
 
 def ranked_list(scores: DataFrame, customer: str, products: Sequence[str]) -> DataFrame:
@@ -19,5 +20,14 @@ def ranked_list(scores: DataFrame, customer: str, products: Sequence[str]) -> Da
 
 
 def recommendations(purchases: DataFrame, customer: str, products: Sequence[str], **params) -> DataFrame:
-    models = one_model_per_target(purchases, products, **params)
-    return ranked_list(predictions_by_target(models, purchases, [customer]), customer, products)
+    """Products in the order of their models' probabilities, for every customer.
+
+    Lists are made once per pattern of flags.  A model whose flags are not all known has no
+    probability, and its product comes last.
+    """
+    known = purchases.dropna(subset=list(products))
+    models = one_model_per_target(known, products, **params)
+    flags = used_flags(models)
+    lists = measured(ranked_list(predictions_by_pattern(models, purchases, flags), "_pattern", products))
+    rows = purchases.select(customer, flag_pattern(flags).alias("_pattern"))
+    return rows.join(lists, "_pattern").drop("_pattern")
