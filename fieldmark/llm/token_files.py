@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldmark.llm.tokenizing import crc32, encoder
+from fieldmark.session import measured
 
 ORC = {
     "orc.compress": "ZSTD",
@@ -32,10 +33,12 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, text:
     file.  Only one row per file has to be summed to know where each file starts.
 
     A NULL text is empty and has the end id alone.  NULL ids come first; rows of one id
-    follow each other by text.  Further columns of `docs` are not written.
+    follow each other by the hash of their text, so that one id, or no id, is not one task.
+    Further columns of `docs` are not written.
     """
     chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ordered = chosen.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    place = ["doc_id", F.xxhash64(F.coalesce("text", F.lit("")))]
+    ordered = chosen.repartitionByRange(*place).sortWithinPartitions(*place, "text").select("doc_id", "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
@@ -64,10 +67,10 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """The rows of `write_tokens`, with `start`: the ids of all documents before."""
     rows = spark.read.orc(path)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per file.
+    # One row per file, stored: with its size known it is sent to the ids, which stay where they are.
     files = rows.groupBy("part").agg(F.sum("n_tokens").alias("__n"))
     files = files.select("part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return rows.join(files, "part").select(
+    return rows.join(measured(files), "part").select(
         "doc_id", (F.col("__before") + F.col("part_start")).alias("start"), "n_tokens", "ids"
     )
 

@@ -76,7 +76,7 @@ class Encoder:
         for k in range(0, len(together), JOINED):
             part = together[k : k + JOINED]
             got = self.tokenizer.encode(glue.join(chunks[i] for i in part), add_special_tokens=False)
-            ids, places = got.ids, np.array([p[0] for p in got.offsets], np.int64)
+            ids, places = got.ids, np.fromiter((p[0] for p in got.offsets), np.int64, len(got.ids))
             begins = np.cumsum([0, *[len(chunks[i]) + len(glue) for i in part]])
             cuts = np.searchsorted(places, begins)
             for i, a, b in zip(part, cuts[:-1], cuts[1:]):
@@ -103,7 +103,7 @@ class Encoder:
     def _regular(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         words = self._chunks(texts)
         coded = words.flatten().dictionary_encode()
-        place = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+        place = self._places(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)]
         lens = self.lens[place]
         ends = np.cumsum(lens)
         ids = self.pool[np.repeat(self.starts[place] - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)]
