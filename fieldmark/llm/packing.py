@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,9 +95,9 @@ def pack(
     rule: str = "norm",
     block: int = BLOCK_PIECES,
 ) -> DataFrame:
-    """Add sequence_id and offset to rows with (doc_id, piece, length).
+    """Add sequence_id and offset to rows with (doc_id, piece, length); a NULL length is 0.
 
-    Pieces are spread by hash over blocks of about `block` rows, each packed by
+    Pieces are spread over blocks of about `block` rows, each packed by
     `best_fit` in a task of its own; a block leaves one open sequence or so.
     `max_docs` and `max_cost` (sum of squared lengths) bind only where given: their
     defaults are what `max_tokens` implies.  `pieces` is read for its count and its
@@ -111,17 +111,24 @@ def pack(
         raise ValueError("rule is 'norm' or 'dot'")
     blocks = max(1, -(-pieces.count() // block))
 
-    def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        lengths = rows["length"].to_numpy(np.int64)
+    def packed(rows: pa.Table) -> pa.Table:
+        number = lambda c: pc.fill_null(rows.column(c), 0).to_numpy().astype(np.int64)
+        lengths = number("length")
         if len(lengths) and (lengths.max() > max_tokens or float(lengths.max()) ** 2 > max_cost):
             raise ValueError("a piece does not fit into an empty sequence")
-        rows = rows.sort_values(["doc_id", "piece", "ids_crc32"], kind="stable") if "ids_crc32" in rows else rows.sort_values(["doc_id", "piece"], kind="stable")
-        sequence, offset = best_fit(rows["length"].to_numpy(np.int64), max_tokens, max_docs, max_cost, weights, rule)
-        return rows.assign(sequence_id=rows["__block"].to_numpy(np.int64) + sequence * blocks, offset=offset).drop(columns="__block")
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes) + ", sequence_id long, offset long"
-    spread = pieces.withColumn("__block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))
-    return spread.groupBy("__block").applyInPandas(packed, schema)
+        # Only an order is made of the columns; they themselves, NULL ids too, stay as they are.
+        keys = [number(c) for c in ("ids_crc32", "piece", "doc_id") if c in rows.column_names]
+        order = np.lexsort(keys)
+        sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
+        sequence[order], offset[order] = best_fit(lengths[order], max_tokens, max_docs, max_cost, weights, rule)
+        sequence = number("__block") + sequence * blocks
+        return rows.drop_columns(["__block"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset))
+
+    rest = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    schema = ", ".join(f"`{n}` {t}" for n, t in pieces.select(*rest).dtypes) + ", sequence_id long, offset long"
+    # By the place of a row, so that many rows of one id, without an id, or equal in all are spread as well.
+    spread = pieces.select(*rest).withColumn("__block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    return stored(spread, "blocks").groupBy("__block").applyInArrow(packed, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, max_tokens: int = 4096, text: str = "text", doc_id: str = "doc_id", **limits) -> DataFrame:

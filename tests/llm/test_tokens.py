@@ -6,9 +6,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from fieldmark.llm.packing import best_fit, pack, pack_documents
+from fieldmark.llm.common import ship_package
+from fieldmark.llm.packing import best_fit, pack, pack_documents, token_pieces
 from fieldmark.llm.token_files import read_tokens, token_digest, write_tokens
 from fieldmark.llm.tokenizing import Encoder, default_path
 from fieldmark.session import work_folder
@@ -91,3 +93,38 @@ def test_piece_too_long_is_an_error(frame):
     with pytest.raises(Exception, match="does not fit"):
         pack(frame([(1, 0, 900)], "doc_id long, piece int, length long"), 512).collect()
     assert pack(frame([], "doc_id long, piece int, length long"), 512).count() == 0
+
+
+def test_ids_are_not_rounded(spark, frame):
+    """Beside rows without an id, large ids keep their last digit; all rows without an id are not one block."""
+    ship_package(spark)
+    rows = [(9007199254740993, "a b c"), (None, "x y"), (None, None), (9007199254740993, "a b c")] + [(None, "same text")] * 50
+    df = frame(rows, "doc_id long, text string").selectExpr("*", "'o' AS offset", "1 AS piece", "2 AS sequence_id")
+    pieces = token_pieces(df, default_path("word_bpe_49k.json"), 1, 4096)
+    packed = pack(pieces.withColumn("offset", F.lit("clash")), block=10)
+    got = packed.collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    assert len({r.sequence_id for r in got}) > 1
+    for sequence in {r.sequence_id for r in got}:
+        here = sorted((r.offset, r.length) for r in got if r.sequence_id == sequence)
+        assert all(a + n == b for (a, n), (b, _) in zip(here, here[1:])) and here[0][0] == 0
+
+
+def test_places_against_a_plain_version(frame):
+    """Best fit by hand: longest first into the fullest sequence with room."""
+    draw = np.random.default_rng(6)
+    lengths = [int(x) for x in draw.integers(1, 100, 300)]
+    df = frame([(i, 0, n) for i, n in enumerate(lengths)], "doc_id long, piece int, length long")
+    got = pack(df, max_tokens=100, block=1000).collect()
+    room = []
+    for n in sorted(lengths, reverse=True):
+        fits = [i for i, r in enumerate(room) if r >= n]
+        if fits:
+            best = min(fits, key=lambda i: room[i])
+            room[best] -= n
+        else:
+            room.append(100 - n)
+    used = {}
+    for r in got:
+        used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
+    assert sorted(used.values()) == sorted(100 - r for r in room)
