@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 KEPT_CHUNKS = 300_000
 SLICE_BYTES = 4_000_000
 JOINED = 512
+# Fixed value: how byte-level vocabularies write a blank.
+BLANK = "Ġ"
 
 # Between such a letter and such an ASCII sign or digit (apostrophes aside) every pre-tokenizer here cuts.
 # The capital I with dot is no such letter, as its lower case ends in a mark.
@@ -48,6 +50,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Without a normalizer blanks count; with one, they are dropped and case is folded.
         self.blanks_count = self.tokenizer.normalizer is None
+        vocabulary = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -64,24 +69,41 @@ class Encoder:
         plain = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
         return pc.split_pattern(pc.replace_substring_regex(plain, LETTER_SIGN, "\\1 \\2"), " ")
 
-    def _encode_new(self, chunks: list[str]) -> list[list[int]]:
-        """Ids of chunks; those that stay apart when joined are encoded together."""
+    def _encode_new(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The chunks in the order in which they are encoded, their numbers of ids, and all ids.
+
+        Chunks that stay apart when joined are encoded together.
+        """
         joint = (lambda c: c[:1] == " " and len(c) > 1) if self.blanks_count else (lambda c: c != "")
+        together = [c for c in chunks if joint(c)]
+        alone = [c for c in chunks if c and not joint(c)]
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        lens, ids = self._encode_joined(together)
+        empty = [c for c in chunks if not c]
+        more = np.fromiter(map(len, got), np.int64, len(got))
+        flat = np.fromiter((x for row in got for x in row), np.uint32, int(more.sum()))
+        return together + alone + empty, np.concatenate([lens, more, np.zeros(len(empty), np.int64)]), np.concatenate([ids, flat])
+
+    def _encode_joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = [chunks[k : k + JOINED] for k in range(0, len(chunks), JOINED)]
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        if self.blanks_count:
+            # Each chunk has one blank, at its start, so its first id is the one that begins with a blank.
+            got = self.tokenizer.encode_batch_fast(["".join(p) for p in parts], add_special_tokens=False)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in got])
+            begins = np.flatnonzero(self.opens[ids])
+            if len(begins) == len(chunks):
+                return np.diff(np.append(begins, len(ids))), ids
         glue = "" if self.blanks_count else "\n"
-        out: list[list[int]] = [[] for _ in chunks]
-        together = [i for i, c in enumerate(chunks) if joint(c)]
-        alone = [i for i, c in enumerate(chunks) if c and not joint(c)]
-        for i, got in zip(alone, self.tokenizer.encode_batch_fast([chunks[i] for i in alone], add_special_tokens=False)):
-            out[i] = got.ids
-        for k in range(0, len(together), JOINED):
-            part = together[k : k + JOINED]
-            got = self.tokenizer.encode(glue.join(chunks[i] for i in part), add_special_tokens=False)
-            ids, places = got.ids, np.fromiter((p[0] for p in got.offsets), np.int64, len(got.ids))
-            begins = np.cumsum([0, *[len(chunks[i]) + len(glue) for i in part]])
-            cuts = np.searchsorted(places, begins)
-            for i, a, b in zip(part, cuts[:-1], cuts[1:]):
-                out[i] = ids[a:b]
-        return out
+        lens, ids = [], []
+        for part in parts:
+            got = self.tokenizer.encode(glue.join(part), add_special_tokens=False)
+            places = np.fromiter((p[0] for p in got.offsets), np.int64, len(got.ids))
+            begins = np.cumsum([0, *[len(c) + len(glue) for c in part]])
+            lens.append(np.diff(np.searchsorted(places, begins)))
+            ids.append(np.array(got.ids, np.uint32))
+        return np.concatenate(lens), np.concatenate(ids)
 
     def _places(self, chunks: list[str]) -> np.ndarray:
         """Index of each distinct chunk, encoding those not met before."""
@@ -90,9 +112,7 @@ class Encoder:
         get = self.index.get
         new = [c for c in chunks if get(c) is None]
         if new:
-            ids = self._encode_new(new)
-            lens = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((x for row in ids for x in row), np.uint32, int(lens.sum()))
+            new, lens, flat = self._encode_new(new)
             base = len(self.lens)
             self.index.update(zip(new, range(base, base + len(new))))
             self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(lens) - lens])
