@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldmark.llm.decontaminate import contaminated, template_words
+from fieldmark.llm.decontaminate import contaminated, in_form, template_words
 
 ITEM = "A train leaves the town at 9 and meets Anna after 40 km while Anna waits 3 hours for the train at 9"
 BENCH = [(1, ITEM), (2, "Die Katze sitzt auf der Matte und schläft den ganzen Tag"), (3, "too short"), (4, None), (None, "an item without an id that has words enough"), (5, "five words make one whole")]
@@ -19,6 +19,25 @@ def test_words(frame):
     assert df.select(template_words(F.col("text"))).first()[0] == "we saw <p>anna run <n>3.5 <u>km and <n>20 <u> of <n>1,000 x2".split()
 
 
+def test_marked_words_have_two_forms(frame):
+    df = frame([("Then Anna sat. Bob saw, Eve too",)], "text string").select(template_words(F.col("text")).alias("w"))
+    assert df.first()[0] == "<s>then <p>anna sat <s>bob saw <p>eve too".split()
+    both = df.select(in_form(F.col("w"), F.lit(False)), in_form(F.col("w"), F.lit(True))).first()
+    assert both[0] == "then <p>anna sat bob saw <p>eve too".split() and both[1] == "<p>then <p>anna sat <p>bob saw <p>eve too".split()
+
+
+def test_short_items_are_found_with_their_own_values(frame):
+    items = [(1, "what is two plus"), (2, "7 km"), (3, "Ask Anna"), (4, " "), (5, "!!")]
+    docs = [(1, "so what is two plus three"), (2, "it is 7 km away"), (3, "it is 8 km away"), (4, "please ask Anna now"), (5, "please ask Bob now"), (6, "what is one plus")]
+    assert found_items(frame, items, docs) == {(1, 1): True, (2, 2): True, (4, 3): True}
+
+
+def test_numbers_of_many_groups_are_one_word(frame):
+    long = ".".join(["12"] * 30)
+    df = frame([(f"at {long} or 5",)], "text string")
+    assert df.select(template_words(F.col("text"))).first()[0] == ["at", f"<n>{long}", "or", "<n>5"]
+
+
 def test_cases(frame):
     asked = ITEM.replace("9", "7").replace("Anna", "Bob").replace("40", "55").replace("3 hours", "2 hours")
     inconsistent = ITEM.replace("at 9 and", "at 7 and").replace("Anna after", "Bob after")
@@ -38,7 +57,8 @@ def test_cases(frame):
         (11, ("clean words without any end " * 3000) + ITEM),
     ]
     got = found(frame, docs)
-    assert got == {(1, 1): True, (2, 1): False, (5, 2): True, (8, 5): True, (11, 1): True}
+    # Item 3 has two words and is found as a whole.
+    assert got == {(1, 1): True, (2, 1): False, (5, 2): True, (8, 5): True, (11, 1): True, (10, 3): True}
 
 
 def test_half_an_item_is_enough_and_less_is_not(frame):
@@ -50,7 +70,7 @@ def test_half_an_item_is_enough_and_less_is_not(frame):
 def test_both_join_paths_agree(frame, monkeypatch):
     docs = [(i, f"some {i} words {ITEM}" if i % 3 == 0 else f"clean words number {i} that are not an item") for i in range(30)]
     small = found(frame, docs)
-    monkeypatch.setattr("fieldmark.llm.decontaminate.BROADCAST_ROWS", 0)
+    monkeypatch.setattr("fieldmark.llm.decontaminate.SENT_BYTES", 0)
     assert found(frame, docs) == small == {(i, 1): True for i in range(0, 30, 3)}
 
 
