@@ -1,14 +1,16 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-The k-mers of a document are its runs of five words; the second, third, .. occurrence of a
-k-mer is labelled as such.  A sketch takes the two labelled k-mers with the smallest hashes
-and keeps their text order, so that equal sketches speak for a small edit distance and not
-just for a common bag of words.  Documents meet where a sketch is equal.
+The k-mers of a document are its runs of five words, of fewer in short texts, where one
+changed word would spoil too many; the second, third, .. occurrence of a k-mer is labelled as
+such.  A sketch takes the two labelled k-mers with the smallest hashes and keeps their text
+order, so that equal sketches speak for a small edit distance and not just for a common bag
+of words.  Documents meet where two neighbouring sketches are equal.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,16 +21,21 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldmark.llm.common import text_key
 from fieldmark.llm.tokenizing import release
 from fieldmark.session import stored
 
 WORDS = 5
 SKETCHES = 24
+# Words per k-mer, and the lengths of texts it is for.  Where a text is within 0.8 of the length of
+# another, both are in one of the ranges; a text in two of them has sketches of both.
+KMERS = ((1, 4, 25), (2, 20, 125), (WORDS, 100, 2**31))
 SIMILARITY = 0.8
 SLICE_BYTES = 1_000_000
 PAIRS_AT_ONCE = 250
 BINS = 64
 TURN_BASE = 8
+NEVER = 1_000_000
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -56,19 +63,19 @@ def mixed(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def labelled_kmers(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the occurrence-labelled k-mers and their number per text.
+def labelled_kmers(words: np.ndarray, counts: np.ndarray, longest: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the occurrence-labelled k-mers of `longest` words and their number per text.
 
-    A text of fewer than WORDS words has one k-mer, all its words; one without words has none.
+    A text of fewer words has one k-mer, all its words; one without words has none.
     """
     ends = np.cumsum(counts)
-    n = np.where(counts >= WORDS, counts - WORDS + 1, np.minimum(counts, 1))
+    n = np.where(counts >= longest, counts - longest + 1, np.minimum(counts, 1))
     text = np.repeat(np.arange(len(counts)), n)
     place = np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(ends - counts, n)
-    size = np.minimum(counts, WORDS)[text]
+    size = np.minimum(counts, longest)[text]
     kmer = np.zeros(len(text), np.uint64)
-    padded = np.concatenate([words, np.zeros(WORDS, np.uint64)])
-    for j in range(WORDS):
+    padded = np.concatenate([words, np.zeros(longest, np.uint64)])
+    for j in range(longest):
         step = mixed(kmer ^ padded[place + j], j + 1)
         kmer = np.where(j < size, step, kmer)
     order = np.lexsort((kmer, text))
@@ -106,6 +113,21 @@ def order_sketches(kmers: np.ndarray, n: np.ndarray, sketches: int = SKETCHES) -
     return out.view(np.int64)
 
 
+def text_sketches(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sketches of texts one after another, SKETCHES for each range of KMERS a text is in, and their number per text."""
+    numbers, rows = [], []
+    for k, least, most in KMERS:
+        chosen = np.flatnonzero((counts >= least) & (counts <= most))
+        inside = np.zeros(len(counts), bool)
+        inside[chosen] = True
+        kmers, n = labelled_kmers(words[np.repeat(inside, counts)], counts[chosen], k)
+        numbers.append(chosen)
+        rows.append(mixed(order_sketches(kmers, n).view(np.uint64), 77 + k).view(np.int64))
+    owner = np.concatenate(numbers)
+    order = np.argsort(owner, kind="stable")
+    return np.concatenate(rows)[order].ravel(), np.bincount(owner, minlength=len(counts)) * SKETCHES
+
+
 def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     texts = pc.fill_null(texts, "")
     sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -119,7 +141,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 
 
 def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """__id, node (digest of the words, or of the text if it has none), sketch, size (words), bins.
+    """__id, __key, node (digest of the words, or of the text if it has none), sketch, size (words), bins.
 
     `bins` counts the words by their hash in BINS parts, up to 32,767 each.
     """
@@ -128,33 +150,38 @@ def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         for batch in batches:
             for first, texts in slices(batch.column("__text")):
                 words, counts = word_hashes(texts)
-                kmers, n = labelled_kmers(words, counts)
-                rows = order_sketches(kmers, n)
+                flat, many = text_sketches(words, counts)
                 edges = np.concatenate([[0], np.cumsum(counts)])
                 raw = words.tobytes()
                 nodes = [
                     hashlib.md5(raw[8 * a : 8 * b] if b > a else b"text:" + t.as_py().encode(), usedforsecurity=False).digest()
                     for a, b, t in zip(edges[:-1], edges[1:], texts)
                 ]
-                # Texts shorter than a k-mer are compared as wholes.
-                offsets = np.concatenate([[0], np.cumsum(np.where(counts >= WORDS, SKETCHES, 0))]).astype(np.int32)
-                flat = rows[counts >= WORDS].ravel()
+                # The shortest texts have no sketches: one edit makes them too different, so they are compared as wholes.
+                offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
                 part = np.repeat(np.arange(len(texts)), counts) * BINS + (words % np.uint64(BINS)).astype(np.int64)
                 bins = np.minimum(np.bincount(part, minlength=len(texts) * BINS), 32767).astype(np.int16)
                 edges_of_bins = np.arange(len(texts) + 1, dtype=np.int32) * BINS
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("__id").slice(first, len(texts)),
+                        batch.column("__key").slice(first, len(texts)),
                         pa.array(nodes, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                         pa.array(counts.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(edges_of_bins), pa.array(bins)),
                     ],
-                    names=["__id", "node", "sketch", "size", "bins"],
+                    names=["__id", "__key", "node", "sketch", "size", "bins"],
                 )
 
-    chosen = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
-    return chosen.mapInArrow(sketch, "__id long, node binary, sketch array<long>, size int, bins array<smallint>")
+    return keyed_texts(docs, text, doc_id).mapInArrow(sketch, "__id long, __key long, node binary, sketch array<long>, size int, bins array<smallint>")
+
+
+def keyed_texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """__id, __key (hash of the text, as several texts may stand under one id) and __text of the rows with an id."""
+    return docs.filter(F.col(doc_id).isNotNull()).select(
+        F.col(doc_id).cast("long").alias("__id"), text_key(text).alias("__key"), F.col(text).cast("string").alias("__text")
+    )
 
 
 def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
@@ -274,10 +301,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def buckets_of(nodes: DataFrame) -> DataFrame:
-    """A row for each bucket of a node: a sketch, or two sketches at once; other columns stay."""
-    fine = F.transform("sketch", lambda s, i: F.xxhash64(s, F.get("sketch", (i + 1) % SKETCHES), i + SKETCHES))
-    coarse = F.transform("sketch", lambda s, i: F.xxhash64(s, i))
-    return nodes.withColumn("bucket", F.explode(F.concat(coarse, fine))).drop("sketch")
+    """A row for each bucket of a node, two neighbouring sketches at once; other columns stay."""
+    after = lambda i: (i - i % SKETCHES) + (i + 1) % SKETCHES
+    pairs = F.transform("sketch", lambda s, i: F.xxhash64(s, F.get("sketch", after(i)), i % SKETCHES))
+    return nodes.withColumn("bucket", F.explode(pairs)).drop("sketch")
 
 
 def with_label(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -299,28 +326,35 @@ def further_links(nodes: DataFrame, pairs: DataFrame, links: DataFrame, labels:
     Each member of a bucket with several classes has a turn at which it meets all members
     of its own and later turns.  First comes the member that shares most buckets, such as
     the original of a family of copies; the others follow by hash, about TURN_BASE times
-    as many each turn, so that a few members join what they can before many meet.  Pairs
-    of one class and those out of reach by length or word counts are left out.
+    as many each turn, so that a few members join what they can before many meet.  The
+    members of a bucket's largest class only wait: they are met by all others, but have
+    nothing to find among themselves.  Pairs meet only where their lengths, by cells, allow
+    it; pairs of one class and those out of reach by word counts are left out.
     """
     labelled = with_label(nodes, labels)
-    mixed_ones = buckets_of(labelled.select("label", "sketch")).groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("top"), F.count(F.lit(1)).alias("n"))
-    mixed_ones = stored(mixed_ones.filter("low < top").select("bucket", "n"), "mixed")
+    each = buckets_of(labelled.select("label", "sketch")).groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed_ones = each.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("n"))
+    mixed_ones = stored(mixed_ones.filter("classes > 1").select("bucket", "n", F.when(F.col("largest.n") > 1, F.col("largest.label")).alias("largest")), "mixed")
     if mixed_ones.isEmpty():
         return labels
-    members = stored(buckets_of(nodes.select("node", "sketch")).join(mixed_ones, "bucket"), "members")
+    members = stored(buckets_of(labelled.select("node", "label", "sketch")).join(mixed_ones, "bucket"), "members")
     shared = stored(members.groupBy("node").agg(F.sum("n").alias("shared")), "shared")
     first = members.join(shared, "node").groupBy("bucket").agg(F.max(F.struct("shared", "node"))["node"].alias("first"))
     chance = F.shiftrightunsigned(F.xxhash64("node", "bucket"), 11) / F.lit(float(2**53))
     drawn = F.greatest(F.floor(F.log(float(TURN_BASE), F.greatest(chance * F.col("n"), F.lit(1.0)))) + 1, F.lit(1))
-    turns = members.join(first, "bucket").select("node", "bucket", F.when(F.col("node") == F.col("first"), 0).otherwise(drawn).cast("int").alias("turn"))
+    turn_of = F.when(F.col("node") == F.col("first"), 0).when(F.col("label") == F.col("largest"), NEVER).otherwise(drawn)
+    turns = members.join(first, "bucket").select("node", "bucket", turn_of.cast("int").alias("turn"))
     turns = stored(turns.join(nodes.select("node", "size", "bins"), "node"), "turns")
-    last = turns.agg(F.max("turn")).first()[0]
+    last = turns.filter(F.col("turn") < NEVER).agg(F.max("turn")).first()[0]
     tried = pairs.select("a", "b")
     for turn in range(last + 1):
         now = with_label(turns.filter(F.col("turn") >= turn), labels)
-        hub, other = now.filter(F.col("turn") == turn).alias("x"), now.alias("y")
+        # Lengths within `similarity` of each other are in one cell or in neighbouring ones.
+        cell = F.floor(F.log("size") / F.lit(max(-math.log(similarity), 1e-3)))
+        hub = now.filter(F.col("turn") == turn).withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1))).alias("x")
+        other = now.withColumn("cell", cell).alias("y")
         later = (F.col("y.turn") > turn) | (F.col("x.node") < F.col("y.node"))
-        met = hub.join(other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.label") != F.col("y.label")) & later & within_reach("x", "y", similarity))
+        met = hub.join(other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") != F.col("y.label")) & later & within_reach("x", "y", similarity))
         new = met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
         new = stored(new.join(tried, ["a", "b"], "left_anti"), "pairs")
         if new.isEmpty():
@@ -336,17 +370,18 @@ def further_links(nodes: DataFrame, pairs: DataFrame, links: DataFrame, labels:
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id), one row per row with an id: the smallest id of its class.
 
-    Documents with equal words are one node from the start.  Nodes that share a sketch
-    are candidates.  Each node is first compared with the smallest of the group with which
-    it shares most sketches; a second grouping by two sketches at once parts the copies of
-    different documents that share a passage.  Groups that still hold several classes go
+    Documents with equal words are one node from the start.  Nodes that share two
+    neighbouring sketches are candidates, which leaves out documents that have no more in
+    common than a passage.  Each node is first compared with the smallest of the group with
+    which it shares most of these.  Groups that still hold several classes go
     on in rounds, until no pair of different classes is left unaligned that lengths or
     word counts do not rule out.  Classes are the connected components of the pairs whose
     edit similarity, 1 - edits / words of the longer, is `similarity` or more.  Nothing is
     capped.
 
     A NULL text is an empty one; texts without words are equal only as texts.  Of fewer
-    than five words only equal ones are duplicates.  Rows without an id are left out.
+    than four words only equal ones are duplicates.  Rows without an id are left out; several
+    texts of one id are a node each, and the id has a row, with a class, for each of them.
     """
     rows = stored(sketched(docs, text, doc_id), "sketches")
     nodes = rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.min("sketch").alias("sketch"), F.min("size").alias("size"), F.min("bins").alias("bins"))
@@ -355,7 +390,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     met = buckets.join(hubs, "bucket").filter("hub < node").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
     pairs = stored(met.agg(F.count(F.lit(1)).alias("n")), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    first = rows.groupBy("node").agg(F.min("__id").alias("__id")).join(wanted, "node", "left_semi")
+    first = rows.groupBy("node").agg(F.min(F.struct("__id", "__key")).alias("f")).select("node", "f.*").join(wanted, "node", "left_semi")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -366,8 +401,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 values = pa.array((words >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays([nodes_of, pa.ListArray.from_arrays(pa.array(offsets), values)], names=["node", "words"])
 
-    chosen = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
-    found = chosen.join(first, "__id").select("node", "__text").mapInArrow(hashes, "node binary, words array<int>")
+    found = keyed_texts(docs, text, doc_id).join(first, ["__id", "__key"]).select("node", "__text").mapInArrow(hashes, "node binary, words array<int>")
     words = stored(found.dropDuplicates(["node"]), "words")
     # Most classes are found with the pair of each node that shares most sketches.
     likely = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b"), "likely")
