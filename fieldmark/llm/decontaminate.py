@@ -38,7 +38,7 @@ def template_words(text: Column) -> Column:
     """
     signs = F.contains(text, F.lit("<")) | F.contains(text, F.lit(">"))
     plain = F.when(signs, F.translate(text, "<>", "  ")).otherwise(text)
-    capitals = F.regexp_replace(plain, r"(?<![\p{L}0-9])(\p{Lu}\p{Ll}+)(?!\p{L})", f" {START}$1")
+    capitals = F.regexp_replace(plain, r"(\p{Lu}(?<![\p{L}0-9]\p{Lu})\p{Ll}++)(?!\p{L})", f" {START}$1")
     names = F.regexp_replace(capitals, rf"\x20{START}(?<=\p{{Ll}},?\x20\x20{START})", f" {NAME}")
     units = rf"(?<=[0-9])\x20?({'|'.join(sorted(UNITS, key=len, reverse=True))}|[%$€£])(?![\p{{L}}0-9])"
     with_units = F.regexp_replace(names, units, f" {UNIT}$1")
@@ -150,11 +150,41 @@ def window_places(words: Column, size: int, window: int) -> Column:
             ),
         )
 
+    def only_starts(places: Column) -> Column:
+        """No placeholder but words that may be names: those are few, and all else is a word."""
+        start = F.transform(words, is_start)
+        word = F.transform(words, lambda w: F.when(is_start(w), F.xxhash64(F.substr(w, F.lit(4)))).otherwise(F.xxhash64(w)))
+        as_name = F.transform(words, lambda w: F.when(is_start(w), F.xxhash64(F.concat(F.lit(NAME), F.substr(w, F.lit(4))))))
+
+        def any_start(x: Column, i: Column) -> Column:
+            out = F.get(x["s"], i)
+            for k in range(1, size):
+                out = out | F.get(x["s"], i + k)
+            return out
+
+        def named(x: Column, i: Column) -> Column:
+            flags = [F.get(x["s"], i + k) for k in range(size)]
+            held = F.xxhash64(*[F.when(f, F.get(x["n"], i + k)).otherwise(F.get(x["h"], i + k)) for k, f in enumerate(flags)])
+            if size < window:
+                return held
+            free = F.xxhash64(*[F.when(f, name).otherwise(F.get(x["h"], i + k)) for k, f in enumerate(flags)])
+            return F.when(total(flags) * 2 < size, free).otherwise(held)
+
+        return let(
+            F.struct(start.alias("s"), word.alias("h"), as_name.alias("n")),
+            lambda x: F.concat(
+                F.transform(places, lambda i: found(i, False, plain(x["h"], i))),
+                F.transform(F.filter(places, lambda i: any_start(x, i)), lambda i: found(i, True, named(x, i))),
+            ),
+        )
+
     unmarked = lambda places: let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(places, lambda i: found(i, False, plain(h, i))))
+    all_places = F.sequence(F.lit(0), F.size(words) - size)
     return (
         F.when(F.size(words) < size, F.array().cast(kind))
-        .when(F.exists(words, is_slot), let(F.sequence(F.lit(0), F.size(words) - size), marked).cast(kind))
-        .otherwise(let(F.sequence(F.lit(0), F.size(words) - size), unmarked).cast(kind))
+        .when(F.exists(words, lambda w: is_slot(w) & ~is_start(w)), let(all_places, marked).cast(kind))
+        .when(F.exists(words, is_start), let(all_places, only_starts).cast(kind))
+        .otherwise(let(all_places, unmarked).cast(kind))
     )
 
 
