@@ -17,9 +17,9 @@ ROLE = {"assign": SECRET, "access": IDENTIFIER, "hex": SECRET, "user": IDENTIFIE
 
 NAMES = "password|passwd|secret|token|api_?key"
 ASSIGN = rf"""(?i)({NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-WEAK = rf"""(?i)(?:{NAMES}|pwd|pass)["']?\x20*[:=]\x20*["']?[^\s"',;]{{4,64}}"""
-USER = r"""(?i)(?<![A-Za-z])(?:user(?:_?name|_?id)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{2,64}"""
-URL = r"""(?i)(?:https?|ftp|jdbc:[a-z]{2,12}|postgres|mysql|mongodb|redis|amqp)://[^\s"'<>]{4,256}|(?<![A-Za-z])(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:-]{4,128}"""
+WEAK = rf"""(?i)(?:{NAMES}|pwd|pass)["']?\x20*[:=]\x20*["']?[^\s"',;]{{4,}}+"""
+USER = r"""(?i)(?<![A-Za-z])(?:user(?:_?name|_?id)?|login|account|client_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{2,}+"""
+URL = r"""(?i)(?:https?|ftp|jdbc:[a-z]{2,12}|postgres|mysql|mongodb|redis|amqp)://[^\s"'<>]{4,}+|(?<![A-Za-z])(?:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:-]{4,}+"""
 KEY40 = r"(?<![A-Za-z0-9+/=])(?=[A-Za-z0-9+/]{0,39}[a-z])(?=[A-Za-z0-9+/]{0,39}[A-Z])(?=[A-Za-z0-9+/]{0,39}[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 SCOPE = 400
 
@@ -59,8 +59,8 @@ def linked_weak(parts: DataFrame, keys: list[str], scope: int) -> DataFrame:
 
     `parts` has one row per part: `keys`, start, order, end.  A secret needs an
     identifier or an endpoint, an identifier a secret, an endpoint a secret and an
-    identifier.  A weak part inside the span of a strong one is the same thing twice
-    and goes.  Parts meet by stretches of `scope` code points, each also with its two
+    identifier.  A weak part over which a strong one lies, no further than `scope` from
+    its start, is the same thing twice and goes.  Parts meet by stretches of `scope` code points, each also with its two
     neighbours, so that a text of any length falls into many small groups; semi joins
     keep a part once, however many complements it has.
     """

@@ -91,6 +91,19 @@ def test_weak_parts_need_complements(frame):
     ]
 
 
+def test_weak_spans_are_not_cut(frame):
+    password, address, user = "!?" * 50, "db.example.com/" + "p" * 500, "u" * 90
+    text = f"https://{address} user={user} password={password} end"
+    spans = credentials.find_credentials(frame([(1, text)], "doc_id int, text string")).first()["spans"]
+    assert [(credentials.KINDS[s["order"]], text[s["start"] : s["end"]]) for s in spans] == [
+        ("user", f"user={user}"),
+        ("weak", f"password={password}"),
+    ]
+    near = f"user={user} password={password} https://{address} end"
+    spans = credentials.find_credentials(frame([(1, near)], "doc_id int, text string")).first()["spans"]
+    assert [near[s["start"] : s["end"]] for s in spans] == [f"user={user}", f"password={password}", f"https://{address}"]
+
+
 def test_empty_tables(frame):
     empty = frame([], "doc_id long, text string")
     assert private.find_private(empty).count() == 0
