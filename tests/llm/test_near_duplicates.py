@@ -122,3 +122,81 @@ def test_star_of_copies(frame):
     got = {r["doc_id"]: r["class_id"] for r in near_duplicates(frame(rows, "doc_id long, text string")).collect()}
     assert {got[i] for i, _ in rows[:2001]} == {0}
     assert all(got[9000 + i] == 9000 + i for i in range(20))
+
+
+def test_texts_of_one_id_keep_their_words(frame):
+    rng = random.Random(12)
+    a, b = ([f"{c}{rng.randrange(10**6)}" for _ in range(120)] for c in "ab")
+    near = lambda words: " ".join(["changed", *words[1:60], "twice", *words[61:]])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, " ".join(f"c{i}" for i in range(100)))]
+    for turned in (rows, rows[::-1]):
+        got = sorted(tuple(r) for r in near_duplicates(frame(turned, "doc_id long, text string")).collect())
+        assert got == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+
+
+LENGTHS = (5, 6, 8, 10, 12, 15, 20, 25, 26, 40, 80, 125, 126, 200, 400)
+
+
+def pairs_by_length(share, count):
+    """Pairs (2i, 2i + 1) of random texts, the second with a share of its words replaced, one at least."""
+    rng = random.Random(21)
+    rows, lengths = [], []
+    for n in LENGTHS:
+        for _ in range(count):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+            other = list(words)
+            for i in rng.sample(range(n), max(1, int(share * n))):
+                other[i] = f"x{rng.randrange(10**9)}"
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+            lengths.append(n)
+    return rows, lengths
+
+
+def recall_by_length(frame, share, count=20):
+    rows, lengths = pairs_by_length(share, count)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    found = {}
+    for i, n in enumerate(lengths):
+        found.setdefault(n, []).append(got[2 * i] == got[2 * i + 1])
+    assert len(set(got.values())) >= len(lengths)  # different texts stay apart
+    return {n: sum(x) / len(x) for n, x in found.items()}
+
+
+def test_recall_by_length(frame):
+    few = recall_by_length(frame, 0.06)
+    assert min(few.values()) >= 0.9, few
+    more = recall_by_length(frame, 0.12)
+    assert min(r for n, r in more.items() if n <= 125) >= 0.9, more
+
+
+def test_classes_are_those_of_all_pairs(frame):
+    rng = random.Random(31)
+    word = lambda: f"w{rng.randrange(3000)}"
+    texts = []
+    for _ in range(45):
+        base = [word() for _ in range(rng.choice((1, 3, 4, 5, 7, 12, 30, 70, 130, 400)))]
+        texts.append(base)
+        for _ in range(rng.randint(0, 5)):
+            copy = list(base)
+            for _ in range(max(1, int(0.06 * len(base)))):
+                at = rng.randrange(len(copy))
+                rng.choice((lambda: copy.__setitem__(at, word()), lambda: copy.insert(at, word()), lambda: len(copy) > 1 and copy.pop(at)))()
+            texts.append(copy)
+    rng.shuffle(texts)
+    codes = [np.array([int(w[1:]) for w in t]) for t in texts]
+    parent = list(range(len(texts)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            most = int(0.2 * max(len(codes[i]), len(codes[j])) + 1e-9)
+            if edit_distance(codes[i], codes[j], most) <= most:
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    want = [(i, top(i)) for i in range(len(texts))]
+    got = sorted(tuple(r) for r in near_duplicates(frame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect())
+    assert got == want
