@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.functions.calendar import hour_start, time_floor, week_start
 from fieldmark.operators.ordered import clock_cell, positions
+from fieldmark.plans.maintenance import COMPONENTS, ERRORS
 from fieldmark.session import measured
 
 TABLES = (
@@ -27,8 +28,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
-COMPONENTS = ["comp1", "comp2", "comp3", "comp4"]
-ERRORS = ["error1", "error2", "error3", "error4", "error5"]
 CHURN_DAYS = 365
 
 
@@ -218,8 +217,8 @@ class Tables:
 
     @cached_property
     def pairs(self) -> DataFrame:
-        """Labelled fact: each person with each of the ten project numbers."""
-        number = F.explode(F.sequence(F.lit(0), F.lit(9))).alias("ProjectId")
+        """Labelled fact: each person with each project there is; projects are as few as labels."""
+        number = F.explode(self.embeddings.agg(F.collect_set("label").alias("all")).scalar()).alias("ProjectId")
         return self.resumes.select("PersonId", "label", number).select(
             "PersonId", "ProjectId", (F.col("label") == F.col("ProjectId")).cast("int").alias("match")
         )

@@ -226,7 +226,7 @@ def formula_interaction_cells(t: Tables):
     """A model of a full factor cross alone predicts the mean of each cell."""
     data = t.flights.withColumn("DayOfWeek", F.col("DayOfWeek").cast("string"))
     model = train.train_formula(data, "ArrDelay ~ Origin:DayOfWeek", LinearRegression(fitIntercept=False))
-    out = model.transform(data).groupBy("Origin", "DayOfWeek").agg(F.avg("prediction").alias("predicted"))
+    out = train.apply_model(model, data).groupBy("Origin", "DayOfWeek").agg(F.avg("prediction").alias("predicted"))
     return out.select("Origin", F.col("DayOfWeek").cast("int").alias("DayOfWeek"), r6("predicted", 4).alias("predicted"))
 
 
@@ -348,7 +348,7 @@ def linear_fits_two_features(t: Tables):
 
 @query("train_multinomial")
 def train_multinomial(t: Tables):
-    model = train.train_multinomial(cycles(t), SENSORS, "label2", maxIter=20)
+    model = train.train_multinomial(cycles(t), SENSORS, "label2")
     return score.score_classes(model, cycles(t), ["id", "cycle"], [0, 1, 2]).groupBy("predicted").count()
 
 
@@ -357,7 +357,7 @@ def train_poisson(t: Tables):
     data = t.orders.select(
         (cents("o_totalprice") / 1e7).alias("price"), F.month("o_orderdate").alias("month"), F.length("o_orderpriority").alias("label")
     )
-    return quality(train.train_poisson(data, ["price", "month"], "label", maxIter=10), data, "label")
+    return quality(train.train_poisson(data, ["price", "month"], "label"), data, "label")
 
 
 @query("train_tree")
@@ -370,31 +370,31 @@ def train_tree(t: Tables):
 @query("train_forest")
 def train_forest(t: Tables):
     model = train.train_forest(cycles(t), SENSORS, "label1", True, trees=8, depth=10)
-    return binary_metrics(model.transform(cycles(t)), "label1", "prediction")
+    return binary_metrics(train.apply_model(model, cycles(t)), "label1", "prediction")
 
 
 @query("train_boosted")
 def train_boosted(t: Tables):
-    model = train.train_boosted(cycles(t), SENSORS, "RUL", "gaussian", trees=10)
+    model = train.train_boosted(cycles(t), SENSORS, "RUL", "gaussian")
     return quality(model, cycles(t), "RUL")
 
 
 @query("train_boosted_classes")
 def train_boosted_classes(t: Tables):
-    model = train.train_boosted(cycles(t), SENSORS, "label2", "multinomial", trees=5, depth=3)
+    model = train.train_boosted(cycles(t), SENSORS, "label2", "multinomial")
     return score.score_classes(model, cycles(t), ["id", "cycle"], [0, 1, 2]).groupBy("predicted").count()
 
 
 @query("train_mlp")
 def train_mlp(t: Tables):
-    model = train.train_mlp(cycles(t), SENSORS, "label1", 2, hidden=10, iterations=20)
-    return binary_metrics(model.transform(cycles(t)), "label1", "prediction")
+    model = train.train_mlp(cycles(t), SENSORS, "label1", 2)
+    return binary_metrics(train.apply_model(model, cycles(t)), "label1", "prediction")
 
 
 @query("formula_interaction")
 def formula_interaction(t: Tables):
     model = flights.delay_model(t.flights)
-    return regression_metrics(model.transform(flights.with_late(t.flights).withColumn("DayOfWeek", F.col("DayOfWeek").cast("string"))), "ArrDelay", "prediction")
+    return regression_metrics(train.apply_model(model, flights.with_late(t.flights).withColumn("DayOfWeek", F.col("DayOfWeek").cast("string"))), "ArrDelay", "prediction")
 
 
 FLAGS = [f"b{i}" for i in range(1, len(BRANDS) + 1)]
@@ -402,20 +402,19 @@ FLAGS = [f"b{i}" for i in range(1, len(BRANDS) + 1)]
 
 @query("one_model_per_target")
 def one_model_per_target(t: Tables):
-    models = train.one_model_per_target(t.purchases, FLAGS, maxIter=10)
+    models = train.one_model_per_target(t.purchases, FLAGS)
     return score.predictions_by_target(models, t.purchases, ["cust_id"])
 
 
 @query("recommendations")
 def recommendations(t: Tables):
-    return crosssell.recommendations(t.purchases, "cust_id", FLAGS, maxIter=10)
+    return crosssell.recommendations(t.purchases, "cust_id", FLAGS)
 
 
 @query("random_sweep")
 def random_sweep(t: Tables):
     folded = disjoint_folds(cycles(t).withColumn("key", F.concat_ws("-", "id", "cycle")), "key", 3)
-    settings = [{**s, "trees": 5} for s in train.sweep_parameters(3)]
-    table, _ = train.random_sweep(folded, "fold", SENSORS, "RUL", settings, held_out=True)
+    table, _ = train.random_sweep(folded, "fold", SENSORS, "RUL", train.sweep_parameters(3), held_out=True)
     return best_by_rmse(table, "rmse", "setting")
 
 
@@ -460,7 +459,7 @@ def pairs(t: Tables):
 
 @query("score_threshold")
 def score_threshold(t: Tables):
-    model = matching.train_matcher(pairs(t), trees=3, depth=3)
+    model = matching.train_matcher(pairs(t))
     project = t.projects.orderBy("ProjectId").limit(1)
     return matching.match_project(model, t.resumes, project, 0.05)
 
@@ -678,7 +677,7 @@ def group_apply(t: Tables):
     return score.group_apply(
         t.sales,
         ["id1", "id2"],
-        F.floor(F.year("time") / 10),
+        F.pmod(F.xxhash64("time"), F.lit(16)),
         one_part,
         "id1 BIGINT, id2 STRING, n BIGINT, total DOUBLE, top DOUBLE",
         all_parts,

@@ -12,9 +12,9 @@ from checks.q_aggregates import TAGS
 from checks.q_joins import HASH
 from fieldmark.functions import calendar as cal
 from fieldmark.models import train
-from fieldmark.operators.metrics import class_report, mape, regression_metrics
+from fieldmark.operators.metrics import class_report, mape
 from fieldmark.plans import churn, energy, maintenance, retail, rul
-from fieldmark.session import work_folder
+from fieldmark.session import stored, work_folder
 from fieldmark.sources.versions import read_table
 from fieldmark.streaming import arrivals
 
@@ -63,8 +63,8 @@ def maintenance_model(t: Tables):
     before, after = (F.lit(x).cast("timestamp_ntz") for x in ("2024-01-22 01:00:00", "2024-01-23 01:00:00"))
     training, testing = maintenance.split(data, before, after)
     names = [c for c in maintenance.feature_names(data) if c != "label"]
-    model = train.train_boosted(training, names, "label", "multinomial", trees=5, depth=3)
-    return class_report(model.transform(testing), "label", "prediction", [0.0, 1.0, 2.0, 3.0, 4.0])
+    model = train.train_boosted(training, names, "label", "multinomial")
+    return class_report(train.apply_model(model, testing), "label", "prediction", [0.0, 1.0, 2.0, 3.0, 4.0])
 
 
 AS_OF = datetime(2024, 1, 25, 12, 7, 30)
@@ -97,7 +97,7 @@ def per_region_run(t: Tables):
 
 @query("rolling_retrain")
 def rolling_retrain(t: Tables):
-    first = energy.rolling_retrain(t.demand, t.temperature, None, AS_OF, trees=3, depth=5)
+    first = energy.rolling_retrain(t.demand, t.temperature, None, AS_OF)
     actual = t.demand.withColumnRenamed("load", "actual")
     return mape(first.join(actual, ["region", "time"]), "actual", "load", ["region"])
 
@@ -140,13 +140,54 @@ def retail_features(t: Tables):
     return features.withColumns({c: r6(c) for c in floats})
 
 
+KEYS = ["id1", "id2"]
+
+
+def retail_sets(t: Tables):
+    """Features on logarithms, unknown weeks as sales of 1, training rows of all horizons and test rows."""
+    features = stored(retail.weekly_features(usable(t).fillna(1.0, subset=["value"]), "time", "value"), "features")
+    return retail.horizon_training_rows(features, KEYS, "value", 4), retail.horizon_test_rows(features, KEYS, "value", 4)
+
+
 @query("retail_model")
 def retail_model(t: Tables):
-    features = retail.weekly_features(usable(t).fillna(1.0, subset=["value"]), "time", "value")
-    rows = retail.horizon_training_rows(features, ["id1", "id2"], "value", 4)
+    """Forest and boosted trees on the training rows, measured on the test rows of every series."""
+    rows, tested = retail_sets(t)
     names = [c for c in rows.columns if c not in ("id1", "id2", "time", "pos", "size", "value")]
-    model = train.train_forest(rows, names, "value", False, trees=3, depth=5)
-    return regression_metrics(model.transform(rows), "value", "prediction", ["horizon"])
+    models = {"forest": train.train_forest(rows, names, "value", False), "boosted": train.train_boosted(rows, names, "value", "gaussian")}
+    return retail.sales_forecast(models, tested, KEYS, "value")[1]
+
+
+LAG_LINE = f"""WITH {USABLE}, f AS (SELECT id1, id2, pos, size, ln(coalesce(value, 1.0)) AS v FROM spine JOIN passed USING (id1, id2)),
+  h AS (SELECT unnest([1, 2, 3, 4]) AS horizon),
+  train AS (SELECT t.v, p.v AS x FROM f t, h, f p WHERE t.pos < t.size - 4 AND t.pos >= horizon + 25 AND p.id1 = t.id1 AND p.id2 = t.id2 AND p.pos = t.pos - horizon),
+  line AS (SELECT regr_slope(v, x) AS s, regr_intercept(v, x) AS b FROM train),
+  test AS (SELECT t.id1, t.id2, t.pos, CAST(t.pos - t.size + 5 AS INTEGER) AS horizon, t.v, p.v AS x, b + s * p.v AS fc
+    FROM f t JOIN f p ON p.id1 = t.id1 AND p.id2 = t.id2 AND p.pos = t.size - 5, line WHERE t.pos >= t.size - 4)"""
+
+
+def lag_line(t: Tables):
+    rows, tested = retail_sets(t)
+    return retail.sales_forecast({"line": train.train_linear(rows, ["lag1"], "value", solver="normal")}, tested, KEYS, "value")
+
+
+@query(
+    "retail_forecast",
+    f"{LAG_LINE} SELECT id1, id2, pos, horizon, round(exp(v), 4) AS value, round(exp(fc), 4) AS forecast_line FROM test",
+    "sales",
+)
+def retail_forecast(t: Tables):
+    """A line on the last known value, back from logarithms, for the test rows of every series."""
+    return lag_line(t)[0].withColumns({c: r6(c, 4) for c in ("value", "forecast_line")})
+
+
+@query(
+    "retail_forecast_metrics",
+    f"{LAG_LINE} SELECT 'line' AS model, round(avg(abs(v - fc)), 6) AS mae, round(sqrt(avg((v - fc) ^ 2)), 6) AS rmse FROM test",
+    "sales",
+)
+def retail_forecast_metrics(t: Tables):
+    return lag_line(t)[1].select("model", r6("mae").alias("mae"), r6("rmse").alias("rmse"))
 
 
 CHURN_GROUPS = f"""{TAGS}, data AS (SELECT UserId, CAST(TagId AS INTEGER) AS label, CASE WHEN CAST(Age AS INTEGER) >= 33 THEN 1 ELSE 0 END AS older,
@@ -178,17 +219,74 @@ def churn_auc(t: Tables):
     return churn_run(t)[2].select(r6("auc").alias("auc"))
 
 
-@query("engine_life_model")
-def engine_life_model(t: Tables):
-    """Labels, rolling features, normalisation, feature choice and a forest."""
+def engine_sets(t: Tables):
+    """Labels, rolling features and normalisation of the training engines and of the last cycles to test on."""
     sensors = ["s1", "s2", "s3", "s4"]
     training = rul.labelled_cycles(t.cycles, sensors)
     truth = t.truth.select((F.col("s_suppkey") + 1).alias("id"), "RUL")
     testing = rul.labelled_cycles(t.cycles, sensors, truth)
     _, (train_set, test_set) = rul.normalised(training, testing)
+    return stored(train_set, "engines"), stored(test_set, "tested")
+
+
+@query("engine_life_model")
+def engine_life_model(t: Tables):
+    """Two classes: feature choice and a forest."""
+    train_set, test_set = engine_sets(t)
     names = rul.chosen_features(train_set, "label1", 8)
     model = train.train_forest(train_set, names, "label1", True, trees=8, depth=8)
-    return model.transform(test_set).select("id", "RUL", "label1", "prediction")
+    return train.apply_model(model, test_set).select("id", "RUL", "label1", "prediction")
+
+
+@query("engine_life_regression")
+def engine_life_regression(t: Tables):
+    """Forest, boosted trees and a line for the remaining life, measured on the last cycles."""
+    train_set, test_set = engine_sets(t)
+    names = rul.chosen_features(train_set, "RUL")
+    models = {
+        "forest": train.train_forest(train_set, names, "RUL", False),
+        "boosted": train.train_boosted(train_set, names, "RUL", "gaussian"),
+        "line": train.train_linear(train_set, names, "RUL"),
+    }
+    return rul.life_metrics(models, test_set)
+
+
+@query("engine_life_classes")
+def engine_life_classes(t: Tables):
+    """Three classes by forest, joint boosting and multinomial regression."""
+    train_set, test_set = engine_sets(t)
+    names = rul.chosen_features(train_set, "label2")
+    models = {
+        "forest": train.train_forest(train_set, names, "label2"),
+        "boosted": train.train_boosted(train_set, names, "label2", "multinomial"),
+        "multinomial": train.train_multinomial(train_set, names, "label2"),
+    }
+    return rul.class_metrics(models, test_set)
+
+
+ENGINE_LINE = """WITH ends AS (SELECT id, max(cycle) AS last FROM cycles GROUP BY 1),
+  line AS (SELECT regr_slope(last - cycle, s1) AS s, regr_intercept(last - cycle, s1) AS b FROM cycles JOIN ends USING (id)),
+  test AS (SELECT id, cycle, s_suppkey % 40 AS RUL, b + s * s1 AS guess FROM cycles JOIN ends USING (id) JOIN supplier ON s_suppkey + 1 = id, line WHERE cycle = last)"""
+
+
+def engine_line(t: Tables):
+    train_set, test_set = engine_sets(t)
+    return {"line": train.train_linear(train_set, ["s1"], "RUL", solver="normal")}, test_set
+
+
+@query("engine_life_scores", f"{ENGINE_LINE} SELECT id, cycle AS cycle_orig, round(guess, 4) AS line FROM test", "cycles")
+def engine_life_scores(t: Tables):
+    """The scoring table of a line on one sensor; normalisation does not change a line."""
+    return rul.life_scores(*engine_line(t)).withColumn("line", r6("line", 4))
+
+
+@query(
+    "engine_life_metrics",
+    f"{ENGINE_LINE} SELECT 'line' AS model, round(avg(abs(RUL - guess)), 4) AS mae, round(sqrt(avg((RUL - guess) ^ 2)), 4) AS rmse FROM test",
+    "cycles",
+)
+def engine_life_metrics(t: Tables):
+    return rul.life_metrics(*engine_line(t)).select("model", r6("mae", 4).alias("mae"), r6("rmse", 4).alias("rmse"))
 
 
 def event_stream(t: Tables):

@@ -9,10 +9,11 @@ from checks.q_joins import HOURLY_ERRORS, GRID15
 from checks.q_sources_rows import SPINE
 from fieldmark.operators import aggregates, joins, ordered, windows
 from fieldmark.operators.rows import fill_mean
+from fieldmark.plans import energy, maintenance
 from fieldmark.session import stored
 
-ROW_LAGS = [24, 25, 26, 27, 28, 31, 36, 40, 48, 72, 96]
-SENSORS = ["volt", "rotate", "pressure", "vibration"]
+ROW_LAGS = energy.LOAD_LAGS
+SENSORS = maintenance.SENSORS
 
 
 def grid15(t: Tables):
@@ -231,16 +232,16 @@ LAG_COLUMNS = ", ".join(
     past AS (SELECT *, {", ".join(f"lag(value, {n}) OVER w AS p{n}" for n in range(1, LAGS + HORIZON))} FROM filled
       WINDOW w AS (PARTITION BY id1, id2 ORDER BY time)),
     wide AS (SELECT id1, id2, time, value, horizon, {LAG_COLUMNS} FROM past, (SELECT unnest([1, 2, 3, 4]) AS horizon))
-    SELECT horizon, count(*) AS n, """
-    + ", ".join(f"round(sum(lag{n}), 2) AS lag{n}" for n in (1, 2, 13, 25, 26))
-    + f" FROM wide WHERE lag{LAGS} IS NOT NULL GROUP BY 1",
+    SELECT id1, id2, horizon, count(*) AS n, """
+    + ", ".join(f"round(sum(lag{n}), 2) AS lag{n}" for n in range(1, LAGS + 1))
+    + f" FROM wide WHERE lag{LAGS} IS NOT NULL GROUP BY 1, 2, 3",
     "sales",
 )
 def lag_by_horizon(t: Tables):
     filled = fill_mean(stored(weekly(t), "weekly"), ["id1", "id2"], "value")
     out = windows.lag_by_horizon(filled, ["id1", "id2"], "pos", "value", LAGS, HORIZON)
-    return out.groupBy("horizon").agg(
-        F.count(F.lit(1)).alias("n"), *[r6(F.sum(f"lag{n}"), 2).alias(f"lag{n}") for n in (1, 2, 13, 25, 26)]
+    return out.groupBy("id1", "id2", "horizon").agg(
+        F.count(F.lit(1)).alias("n"), *[r6(F.sum(f"lag{n}"), 2).alias(f"lag{n}") for n in range(1, LAGS + 1)]
     )
 
 
@@ -261,15 +262,17 @@ def train_test(t: Tables):
 @query(
     "test_lags",
     f"""WITH {SPLIT}, picked AS (SELECT id1, id2, max(e) AS e, """
-    + ", ".join(f"max(CASE WHEN pos = e - {n - 1} THEN coalesce(value, m) END) AS lag{n}" for n in (1, 2, 26))
+    + ", ".join(f"max(CASE WHEN pos = e - {n - 1} THEN coalesce(value, m) END) AS lag{n}" for n in range(1, LAGS + 1))
     + """ FROM train JOIN ends USING (id1, id2) GROUP BY 1, 2)
-    SELECT id1, id2, pos, CAST(pos - e AS INTEGER) AS horizon, lag1, lag2, lag26 FROM test JOIN picked USING (id1, id2)""",
+    SELECT id1, id2, pos, CAST(pos - e AS INTEGER) AS horizon, """
+    + ", ".join(f"lag{n}" for n in range(1, LAGS + 1))
+    + """ FROM test JOIN picked USING (id1, id2)""",
     "sales",
 )
 def test_lags(t: Tables):
     train, test = train_test(t)
     out = windows.test_lags(train, test, ["id1", "id2"], "pos", "value", LAGS)
-    return out.select("id1", "id2", "pos", "horizon", "lag1", "lag2", "lag26")
+    return out.select("id1", "id2", "pos", "horizon", *[f"lag{n}" for n in range(1, LAGS + 1)])
 
 
 @query(

@@ -15,7 +15,7 @@ from fieldmark.functions.calendar import daily_fourier, day_hour_columns, hour_s
 from fieldmark.models.train import apply_model, train_forest
 from fieldmark.operators.joins import merge_upsert, spine_join, time_grid
 from fieldmark.operators.ordered import over_blocks
-from fieldmark.session import measured
+from fieldmark.session import measured, stored
 
 # The grid, the lags in grid rows, and the rows of a day.
 STEP_SECONDS = 900
@@ -46,14 +46,15 @@ def load_and_temperature(
     reading or a time to forecast.
     """
     history = demand.filter(F.col("time").between(_time(start), _time(end))).select("region", "time", "load")
-    regions = demand.select("region").distinct()
+    regions = measured(demand.select("region").distinct())
     future = time_grid(regions, _time(score_start), _time(score_end), STEP_SECONDS)
     readings = history.unionByName(future, allowMissingColumns=True)
     hourly = temperature.filter(F.col("time").between(_time(start), _time(score_end))).select(
         "region", hour_start(F.col("time")).alias("_hour"), "temperature"
     )
     known = readings.withColumn("_hour", hour_start(F.col("time"))).join(hourly, ["region", "_hour"], "inner")
-    return known.drop("_hour"), regions
+    # Both are read again, for the grid and for its means; demand itself is read for these two only.
+    return stored(known.drop("_hour"), "known"), regions
 
 
 def energy_features(
@@ -131,7 +132,8 @@ def rolling_retrain(
     The same `as_of` gives the same rows, so a tick can be run again.
     """
     start, end, score_start, score_end = forecast_times(as_of, hours)
-    features = energy_features(demand, temperature, start, end, score_start, score_end)
+    # The fit and the forecast read the same features.
+    features = stored(energy_features(demand, temperature, start, end, score_start, score_end), "features")
     model = train_demand(features, score_start, trees, depth)
     fresh = forecast_demand(model, features, score_start)
     return fresh if forecasts is None else merge_upsert(forecasts, fresh, ["time", "region"])
