@@ -34,7 +34,7 @@ SIMILARITY = 0.8
 SLICE_BYTES = 1_000_000
 PAIRS_AT_ONCE = 250
 BINS = 64
-TURN_BASE = 8
+TURN_BASE = 64
 NEVER = 1_000_000
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
