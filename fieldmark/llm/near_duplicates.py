@@ -33,6 +33,7 @@ KMERS = ((1, 4, 25), (2, 20, 125), (WORDS, 100, 2**31))
 SIMILARITY = 0.8
 SLICE_BYTES = 1_000_000
 PAIRS_AT_ONCE = 250
+TEXTS_AT_ONCE = 1000
 BINS = 64
 TURN_BASE = 64
 NEVER = 1_000_000
@@ -383,7 +384,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     than four words only equal ones are duplicates.  Rows without an id are left out; several
     texts of one id are a node each, and the id has a row, with a class, for each of them.
     """
-    rows = stored(sketched(docs, text, doc_id), "sketches")
+    with batches_of(docs.sparkSession, TEXTS_AT_ONCE):
+        rows = stored(sketched(docs, text, doc_id), "sketches")
     nodes = rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.min("sketch").alias("sketch"), F.min("size").alias("size"), F.min("bins").alias("bins"))
     buckets = buckets_of(nodes.select("node", "sketch"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
@@ -402,7 +404,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 yield pa.RecordBatch.from_arrays([nodes_of, pa.ListArray.from_arrays(pa.array(offsets), values)], names=["node", "words"])
 
     found = keyed_texts(docs, text, doc_id).join(first, ["__id", "__key"]).select("node", "__text").mapInArrow(hashes, "node binary, words array<int>")
-    words = stored(found.dropDuplicates(["node"]), "words")
+    with batches_of(docs.sparkSession, TEXTS_AT_ONCE):
+        words = stored(found.dropDuplicates(["node"]), "words")
     # Most classes are found with the pair of each node that shares most sketches.
     likely = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b"), "likely")
     links = verified(likely, words, similarity)
