@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +104,21 @@ def test_patterns_give_the_rows_their_figures(frame):
     lists = crosssell.recommendations(df, "id", flags)
     assert lists.count() == len(rows)
     assert all(sorted(r[1:]) == flags for r in lists.collect())
+
+
+@pytest.mark.parametrize("rows", [10, 10_000])
+def test_group_apply_calls_once_per_short_group_and_bounds_pieces(frame, rows):
+    """Short groups are one call each, long ones are cut; both give the sums of whole groups."""
+    df = frame([(k, i, float(i)) for k, n in ((1, 300), (2, 3), (None, 2)) for i in range(n)], "k INT, t INT, v DOUBLE")
+
+    def partial(part):
+        return pd.DataFrame({"k": part["k"].iloc[:1], "n": [len(part)], "s": [part["v"].sum()], "calls": [1], "most": [len(part)]})
+
+    def finish(parts):
+        return pd.DataFrame({"k": parts["k"].iloc[:1], "n": [parts["n"].sum()], "s": [parts["s"].sum()], "calls": [parts["calls"].sum()], "most": [parts["most"].max()]})
+
+    schema = "k INT, n BIGINT, s DOUBLE, calls BIGINT, most BIGINT"
+    out = {r.k: r for r in score.group_apply(df, ["k"], F.col("t"), partial, schema, finish, schema, rows).collect()}
+    assert {k: (r.n, r.s) for k, r in out.items()} == {1: (300, 44850.0), 2: (3, 3.0), None: (2, 1.0)}
+    assert out[2].calls == out[None].calls == 1
+    assert (out[1].calls, out[1].most) == (1, 300) if rows > 300 else (out[1].calls > 10 and out[1].most < 40)
