@@ -8,6 +8,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from fieldmark.models import score, train
+from fieldmark.models.cells import cells as weighted_cells
+from fieldmark.models.cells import fit_bins, in_few_tasks
 from fieldmark.models.formula import Term, levels_of, terms_of
 from fieldmark.session import work_folder
 from tests.conftest import rows_of
@@ -106,3 +108,36 @@ def test_class_without_rows_and_two_classes(spark):
     assert got.filter("probability_1 > 1e-6 OR probability_2 > 1e-6").count() == 0
     with pytest.raises(ValueError):
         train.train_boosted(data.limit(0), ["a"], "y", "multinomial")
+
+
+def test_boosting_passes_over_cells(spark, monkeypatch):
+    """Rows of equal bins are one weighted row: trees see no more rows than there are cells."""
+    rows = [(float(i % 3), float(i % 4), float(i % 2 + i % 3)) for i in range(2400)]
+    data = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, y DOUBLE").repartition(40)
+    sizes = []
+    monkeypatch.setattr(train, "cells", lambda *a: [c := weighted_cells(*a), sizes.append(c.count())][0])
+    model = train.train_boosted(data, ["a", "b"], "y", "gaussian", trees=3, depth=5)
+    assert sizes == [12] and in_few_tasks(data).rdd.getNumPartitions() == 1
+    means = {}
+    for a, b, y in rows:
+        means.setdefault((a, b), []).append(y)
+    for r in train.apply_model(model, data).select("a", "b", "prediction").distinct().collect():
+        assert r.prediction == pytest.approx(sum(means[r.a, r.b]) / len(means[r.a, r.b]))
+    unknown = spark.createDataFrame([(None, 1.0), (float("nan"), 1.0)], "a DOUBLE, b DOUBLE")
+    assert [r.prediction for r in train.apply_model(model, unknown).collect()] == [None, None]
+
+
+def test_least_rows_of_a_node_count_the_rows_behind_cells(spark):
+    data = spark.createDataFrame([(0.0, 1.0)] * 4 + [(1.0, 5.0)] * 20, "a DOUBLE, y DOUBLE")
+    for least, parted in ((4, True), (5, False)):
+        model = train.train_boosted(data, ["a"], "y", "gaussian", trees=1, depth=1, minInstancesPerNode=least)
+        assert train.apply_model(model, data).select("prediction").distinct().count() == 1 + parted
+
+
+def test_cuts_of_many_values_are_quantiles_of_all_rows(spark):
+    binner = fit_bins(spark.range(0, 3200).select(F.col("id").cast("double").alias("a"), (F.col("id") % 5).alias("b")), ["a", "b"])
+    a, b = binner.getSplitsArray()
+    assert len(a) == 33 and b[1:-1] == pytest.approx([0.5, 1.5, 2.5, 3.5])
+    binned = binner.transform(spark.range(0, 3200).select(F.col("id").cast("double").alias("a"), F.lit(1).alias("b")))
+    counts = [r[0] for r in binned.groupBy("_bin_a").count().select("count").collect()]
+    assert len(counts) == 32 and max(counts) <= 104
