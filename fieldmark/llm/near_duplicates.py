@@ -34,7 +34,7 @@ SIMILARITY = 0.8
 SLICE_BYTES = 1_000_000
 PAIRS_AT_ONCE = 250
 TEXTS_AT_ONCE = 1000
-BINS = 64
+FEW_EDITS = 24
 TURN_BASE = 64
 NEVER = 1_000_000
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -142,10 +142,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
 
 
 def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """__id, __key, node (digest of the words, or of the text if it has none), sketch, size (words), bins.
-
-    `bins` counts the words by their hash in BINS parts, up to 32,767 each.
-    """
+    """__id, __key, node (digest of the words, or of the text if it has none), sketch, size (words)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,9 +157,6 @@ def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                 ]
                 # The shortest texts have no sketches: one edit makes them too different, so they are compared as wholes.
                 offsets = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
-                part = np.repeat(np.arange(len(texts)), counts) * BINS + (words % np.uint64(BINS)).astype(np.int64)
-                bins = np.minimum(np.bincount(part, minlength=len(texts) * BINS), 32767).astype(np.int16)
-                edges_of_bins = np.arange(len(texts) + 1, dtype=np.int32) * BINS
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("__id").slice(first, len(texts)),
@@ -170,12 +164,11 @@ def sketched(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                         pa.array(nodes, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                         pa.array(counts.astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(edges_of_bins), pa.array(bins)),
                     ],
-                    names=["__id", "__key", "node", "sketch", "size", "bins"],
+                    names=["__id", "__key", "node", "sketch", "size"],
                 )
 
-    return keyed_texts(docs, text, doc_id).mapInArrow(sketch, "__id long, __key long, node binary, sketch array<long>, size int, bins array<smallint>")
+    return keyed_texts(docs, text, doc_id).mapInArrow(sketch, "__id long, __key long, node binary, sketch array<long>, size int")
 
 
 def keyed_texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -190,7 +183,8 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
 
     Only diagonals within `most` of the start are looked at.  For each number of edits
     the furthest place on each diagonal is kept, and runs of equal words are skipped at
-    once, so near copies take little more than reading them.
+    once, so near copies take little more than reading them.  Pairs of more than FEW_EDITS
+    edits go on with `edits_by_column`.
     """
     if abs(len(a) - len(b)) > most:
         return most + 1
@@ -222,11 +216,12 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
         return ends[min(bisect_left(ends, i), len(ends) - 1)]
 
     goal = m - n
+    few = min(most, FEW_EDITS)
     reach = {0: slide(0, 0)}
     if goal == 0 and reach[0] >= n:
         return 0
-    for edits in range(1, most + 1):
-        left = most - edits
+    for edits in range(1, few + 1):
+        left = few - edits
         now: dict[int, int] = {}
         for d in range(max(-edits, goal - left, -n), min(edits, goal + left, m) + 1):
             i = max(reach.get(d, -2) + 1, reach.get(d + 1, -2) + 1, reach.get(d - 1, -1))
@@ -238,7 +233,28 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
             if d == goal and i >= n:
                 return edits
         reach = now
-    return most + 1
+    return most + 1 if most == few else edits_by_column(a, b, most)
+
+
+def edits_by_column(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """As `edit_distance`, by whole columns of the table: differences of neighbouring cells as bits of two numbers."""
+    at: dict[int, int] = {}
+    for i, word in enumerate(a.tolist()):
+        at[word] = at.get(word, 0) | 1 << i
+    every, end = (1 << len(a)) - 1, len(a) - 1
+    up, down, edits, left = every, 0, len(a), len(b)
+    for word in b.tolist():
+        equal = at.get(word, 0)
+        level = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        more, less = down | (every & ~(across | up)), up & across
+        edits += (more >> end & 1) - (less >> end & 1)
+        left -= 1
+        if edits - left > most:
+            return most + 1
+        more, less = more << 1 | 1, less << 1
+        up, down = (less | ~(level | more)) & every, more & level & every
+    return min(edits, most + 1)
 
 
 def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
@@ -312,16 +328,50 @@ def with_label(df: DataFrame, labels: DataFrame) -> DataFrame:
     return df.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def bags(words: DataFrame) -> DataFrame:
+    """node and bag: its words in no order, the second, third, .. occurrence of a word labelled as such, each element once."""
+
+    def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("words")
+            counts = np.diff(lists.offsets.to_numpy())
+            text = np.repeat(np.arange(len(counts)), counts)
+            word = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            order = np.lexsort((word, text))
+            text, word = text[order], word[order]
+            new = np.ones(len(word), bool)
+            new[1:] = (word[1:] != word[:-1]) | (text[1:] != text[:-1])
+            at = np.arange(len(word))
+            label = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64) if len(word) else at.astype(np.uint64)
+            element = (mixed(word.astype(np.uint64) + label * np.uint64(0x632BE59BD9B4E019), 7) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            kept = np.unique(text << 32 | element.view(np.uint32).astype(np.int64))
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(kept >> 32, minlength=len(counts)))]).astype(np.int32)
+            values = (kept & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], names=["node", "bag"])
+
+    return words.select("node", "words").mapInArrow(bag, "node binary, bag array<int>")
+
+
 def within_reach(a: str, b: str, similarity: float) -> Column:
-    """False only where lengths or word counts alone take more edits than `similarity` allows."""
+    """False only where lengths or words in common alone take more edits than `similarity` allows."""
     longer = F.greatest(f"{a}.size", f"{b}.size")
     most = F.floor(F.lit(1 - similarity) * longer + 1e-9)
-    lacking = F.zip_with(f"{a}.bins", f"{b}.bins", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
-    # An edit lowers the sum of differences by two at most.
-    return (longer - F.least(f"{a}.size", f"{b}.size") <= most) & (F.aggregate(lacking, F.lit(0), lambda s, x: s + x) <= most * 2)
+    # Elements that fell together are counted as found.
+    common = F.size(F.array_intersect(f"{a}.bag", f"{b}.bag")) + F.col(f"{a}.size") - F.size(f"{a}.bag")
+    return (longer - F.least(f"{a}.size", f"{b}.size") <= most) & (longer - common <= most)
+
+
+def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after more links, which are taken as links between classes."""
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    every = stored(with_label(ends.join(labels, "node", "left_anti"), labels).unionByName(labels), "labels")
+    of = lambda side: every.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
+    new = components(between).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return stored(every.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
-def further_links(nodes: DataFrame, pairs: DataFrame, links: DataFrame, labels: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+def further_links(nodes: DataFrame, pairs: DataFrame, labels: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """Labels, after all pairs of different classes in a bucket have been aligned.
 
     Each member of a bucket with several classes has a turn at which it meets all members
@@ -330,7 +380,8 @@ def further_links(nodes: DataFrame, pairs: DataFrame, links: DataFrame, labels:
     as many each turn, so that a few members join what they can before many meet.  The
     members of a bucket's largest class only wait: they are met by all others, but have
     nothing to find among themselves.  Pairs meet only where their lengths, by cells, allow
-    it; pairs of one class and those out of reach by word counts are left out.
+    it and where they have words enough in common, whatever their order; pairs of one class are
+    left out.
     """
     labelled = with_label(nodes, labels)
     each = buckets_of(labelled.select("label", "sketch")).groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -339,32 +390,32 @@ def further_links(nodes: DataFrame, pairs: DataFrame, links: DataFrame, labels:
     if mixed_ones.isEmpty():
         return labels
     members = stored(buckets_of(labelled.select("node", "label", "sketch")).join(mixed_ones, "bucket"), "members")
-    shared = stored(members.groupBy("node").agg(F.sum("n").alias("shared")), "shared")
-    first = members.join(shared, "node").groupBy("bucket").agg(F.max(F.struct("shared", "node"))["node"].alias("first"))
-    chance = F.shiftrightunsigned(F.xxhash64("node", "bucket"), 11) / F.lit(float(2**53))
+    shared = stored(members.groupBy("node").agg(F.sum("n").alias("shared"), F.collect_set("bucket").alias("buckets")), "shared")
+    first = members.join(shared.select("node", "shared"), "node").groupBy("bucket").agg(F.max(F.struct("shared", "node"))["node"].alias("first"))
+    chance = F.shiftrightunsigned(F.xxhash64("node"), 11) / F.lit(float(2**53))
     drawn = F.greatest(F.floor(F.log(float(TURN_BASE), F.greatest(chance * F.col("n"), F.lit(1.0)))) + 1, F.lit(1))
     turn_of = F.when(F.col("node") == F.col("first"), 0).when(F.col("label") == F.col("largest"), NEVER).otherwise(drawn)
     turns = members.join(first, "bucket").select("node", "bucket", turn_of.cast("int").alias("turn"))
-    turns = stored(turns.join(nodes.select("node", "size", "bins"), "node"), "turns")
+    turns = stored(turns.join(nodes.select("node", "size"), "node"), "turns")
+    held = stored(bags(words.join(shared, "node", "left_semi")).join(shared.select("node", "buckets"), "node"), "bags")
     last = turns.filter(F.col("turn") < NEVER).agg(F.max("turn")).first()[0]
-    tried = pairs.select("a", "b")
     for turn in range(last + 1):
-        now = with_label(turns.filter(F.col("turn") >= turn), labels)
+        now = with_label(turns.filter(F.col("turn") >= turn), labels).join(held, "node")
         # Lengths within `similarity` of each other are in one cell or in neighbouring ones.
         cell = F.floor(F.log("size") / F.lit(max(-math.log(similarity), 1e-3)))
         hub = now.filter(F.col("turn") == turn).withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1))).alias("x")
         other = now.withColumn("cell", cell).alias("y")
         later = (F.col("y.turn") > turn) | (F.col("x.node") < F.col("y.node"))
-        met = hub.join(other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") != F.col("y.label")) & later & within_reach("x", "y", similarity))
-        new = met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
-        new = stored(new.join(tried, ["a", "b"], "left_anti"), "pairs")
+        # A pair meets in one of its buckets only.
+        once = F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
+        met = hub.join(other, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") != F.col("y.label")) & later & once & within_reach("x", "y", similarity))
+        new = met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
+        new = stored(new.join(pairs, ["a", "b"], "left_anti"), "pairs")
         if new.isEmpty():
             continue
-        tried = tried.union(new)
         more = verified(new, words, similarity)
         if not more.isEmpty():
-            links = links.union(more)
-            labels = components(links)
+            labels = joined_classes(labels, more)
     return labels
 
 
@@ -376,7 +427,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     common than a passage.  Each node is first compared with the smallest of the group with
     which it shares most of these.  Groups that still hold several classes go
     on in rounds, until no pair of different classes is left unaligned that lengths or
-    word counts do not rule out.  Classes are the connected components of the pairs whose
+    the words in common do not rule out.  Classes are the connected components of the pairs whose
     edit similarity, 1 - edits / words of the longer, is `similarity` or more.  Nothing is
     capped.
 
@@ -386,7 +437,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     with batches_of(docs.sparkSession, TEXTS_AT_ONCE):
         rows = stored(sketched(docs, text, doc_id), "sketches")
-    nodes = rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.min("sketch").alias("sketch"), F.min("size").alias("size"), F.min("bins").alias("bins"))
+    nodes = rows.filter(F.size("sketch") > 0).groupBy("node").agg(F.min("sketch").alias("sketch"), F.min("size").alias("size"))
     buckets = buckets_of(nodes.select("node", "sketch"))
     hubs = buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").drop("top")
     met = buckets.join(hubs, "bucket").filter("hub < node").groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
@@ -410,7 +461,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     likely = stored(pairs.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", "x.b"), "likely")
     links = verified(likely, words, similarity)
     # What is left are the pairs that would join two classes.
-    labels = further_links(nodes, likely, links, components(links), words, similarity)
+    labels = further_links(nodes, likely, components(links), words, similarity)
     labelled = with_label(rows.select("__id", "node"), labels)
     smallest = labelled.groupBy("label").agg(F.min("__id").alias("class_id"))
     return labelled.join(smallest, "label").select(F.col("__id").alias(doc_id), "class_id")

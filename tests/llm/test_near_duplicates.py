@@ -1,10 +1,12 @@
 """Order sketches, alignment and classes."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 
+import fieldmark.llm.near_duplicates as near
 from fieldmark.llm.near_duplicates import edit_distance, labelled_kmers, near_duplicates, order_sketches, word_hashes
 
 
@@ -201,3 +203,43 @@ def test_classes_are_those_of_all_pairs(frame):
     want = [(i, top(i)) for i in range(len(texts))]
     got = sorted(tuple(r) for r in near_duplicates(frame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect())
     assert got == want
+
+
+def test_many_edits_are_counted_by_columns(monkeypatch):
+    rng = random.Random(5)
+    for few in (0, 2):
+        monkeypatch.setattr(near, "FEW_EDITS", few)
+        for _ in range(200):
+            a, b = ([rng.randint(0, 5) for _ in range(rng.randint(0, 80))] for _ in "ab")
+            for most in (1, 10, 90):
+                assert edit_distance(np.array(a, np.int32), np.array(b, np.int32), most) == min(plain_distance(a, b), most + 1)
+
+
+def test_a_common_passage_makes_no_quadratic_pairs(frame, monkeypatch):
+    """Texts with seven tenths in common, of other words for the rest, meet in every bucket and are no copies."""
+    rng = random.Random(9)
+    passage = [f"common{i}" for i in range(350)]
+    rows = [(i, " ".join(passage + [f"own{rng.randrange(10**9)}" for _ in range(150)])) for i in range(300)]
+    rows += [(1000 + i, text.replace("common0 ", f"other{i} ")) for i, text in rows[:20]]
+    aligned, plain = [], near.verified
+
+    def counted(pairs, words, similarity):
+        aligned.append(pairs.count())
+        return plain(pairs, words, similarity)
+
+    monkeypatch.setattr(near, "verified", counted)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(frame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 1000 for i, _ in rows}
+    assert sum(aligned) < 2 * len(rows), aligned
+
+
+def test_words_in_common_are_never_too_few(frame):
+    rng = random.Random(6)
+    texts = [[rng.randint(0, 30) for _ in range(rng.randint(1, 60))] for _ in range(40)]
+    words = frame([(bytes([i]), t) for i, t in enumerate(texts)], "node binary, words array<int>")
+    sets = {r["node"][0]: set(r["bag"]) for r in near.bags(words).collect()}
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts):
+            common = sum((Counter(a) & Counter(b)).values())
+            assert len(sets[i] & sets[j]) + len(a) - len(sets[i]) >= common
+            assert len(sets[i] & sets[j]) <= common + 1
