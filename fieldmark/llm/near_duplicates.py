@@ -35,6 +35,8 @@ SLICE_BYTES = 1_000_000
 PAIRS_AT_ONCE = 250
 TEXTS_AT_ONCE = 1000
 FEW_EDITS = 24
+# So few rows are grouped where they are, without an exchange; every round over links would pay for its partitions.
+FEW_LINKS = 100_000
 TURN_BASE = 64
 NEVER = 1_000_000
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -296,6 +298,11 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """In one partition if they are few, otherwise as they are."""
+    return df.coalesce(1) if rows <= FEW_LINKS else df
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node each node is linked to, over any number of links.
 
@@ -303,9 +310,11 @@ def components(links: DataFrame) -> DataFrame:
     label of its label.  Each round is written to the shared folder; the driver sees
     only whether a label has changed.
     """
-    sides = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
+    count = 2 * links.count()
+    sides = gathered(stored(gathered(links.select("a", "b").union(links.select("b", "a")), count).distinct(), "links"), count)
     labels = stored(sides.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
     while True:
+        labels = gathered(labels, count)
         around = sides.join(labels, sides["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("m"))
         lower = labels.join(around, labels["node"] == around["a"], "left").select("node", "label", F.least("label", "m").alias("low"))
         jump = labels.select(F.col("node").alias("__n"), F.col("label").alias("__l"))
@@ -363,11 +372,13 @@ def within_reach(a: str, b: str, similarity: float) -> Column:
 
 def joined_classes(labels: DataFrame, links: DataFrame) -> DataFrame:
     """(node, label) after more links, which are taken as links between classes."""
-    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    count = links.count()
+    links, labels = gathered(links, 2 * count), gathered(labels, labels.count())
+    ends = gathered(links.select(F.col("a").alias("node")).union(links.select("b")), 2 * count).distinct()
     every = stored(with_label(ends.join(labels, "node", "left_anti"), labels).unionByName(labels), "labels")
     of = lambda side: every.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
-    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()
-    new = components(between).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    new = components(stored(gathered(between, count).distinct(), "links")).select(F.col("node").alias("label"), F.col("label").alias("new"))
     return stored(every.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
