@@ -2,10 +2,12 @@
 
 import random
 from datetime import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.q_models import SENSORS, train_tree
 from fieldmark.models import registry, score, train
 from fieldmark.operators.metrics import binary_metrics
 from fieldmark.plans import crosssell, energy, flights, maintenance, matching, retail, rul
@@ -48,6 +50,16 @@ def test_three_classes(points):
         assert out.filter("predicted = three").count() > 500
 
 
+def test_tree_query_sweeps_all_depths(spark):
+    """The sweep of the source goes to depth 16, where a tree tells rows apart that one of depth 8 does not."""
+    draw = random.Random(3)
+    rows = [(1 + i % 4, float(i // 4), *[draw.random() for _ in SENSORS]) for i in range(1200)]
+    cycles = spark.createDataFrame(rows, f"id INT, cycle DOUBLE, {', '.join(f'{s} DOUBLE' for s in SENSORS)}").withColumn("pos", F.col("cycle"))
+    got = {r[-1]: r for r in train_tree(SimpleNamespace(cycles=cycles)).collect()}
+    assert set(got) == {f"depth {d}" for d in (1, 2, 4, 8, 16)}
+    assert got["depth 16"].rmse < got["depth 8"].rmse
+
+
 def test_weighted_patterns_give_the_same_model(spark):
     draw = random.Random(5)
     rows = [(i, draw.randrange(2), draw.randrange(2), draw.randrange(2)) for i in range(400)]
