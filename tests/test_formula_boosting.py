@@ -141,3 +141,62 @@ def test_cuts_of_many_values_are_quantiles_of_all_rows(spark):
     binned = binner.transform(spark.range(0, 3200).select(F.col("id").cast("double").alias("a"), F.lit(1).alias("b")))
     counts = [r[0] for r in binned.groupBy("_bin_a").count().select("count").collect()]
     assert len(counts) == 32 and max(counts) <= 104
+
+
+def test_rounds_are_grown_together(spark):
+    """A round is one job a level for all its classes, and many rounds leave no query behind."""
+    draw = random.Random(8)
+    rows = [(a := draw.random(), b := draw.random(), int(a * 2 + b * 2)) for _ in range(400)]
+    data = spark.createDataFrame(rows, "a DOUBLE, b DOUBLE, y INT").coalesce(1).cache()
+    data.count()
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    jobs = {}
+    for trees in (2, 12):
+        context.setJobGroup(f"rounds {trees}", "boosting")
+        train.train_boosted(data, ["a", "b"], "y", "multinomial", trees=trees, depth=3)
+        jobs[trees] = len(tracker.getJobIdsForGroup(f"rounds {trees}"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[12] - jobs[2] == 10 * 3
+
+
+def test_trees_are_those_of_plain_boosting(spark):
+    """Against boosting in plain Python over the same cuts, with rows on both sides of them and weights."""
+    draw = random.Random(9)
+    rows = [(float(draw.randrange(6)), float(draw.randrange(5)), draw.random() * 3) for _ in range(300)]
+    data = spark.createDataFrame([(a, b, y + a * b) for a, b, y in rows], "a DOUBLE, b DOUBLE, y DOUBLE")
+    model = train.train_boosted(data, ["a", "b"], "y", "gaussian", trees=4, depth=2, rate=0.3)
+    known = [(a, b, y + a * b) for a, b, y in rows]
+
+    def mean(part):
+        return sum(z for _, z in part) / len(part)
+
+    def grow(part, depth):
+        best = None
+        for f in (0, 1):
+            for cut in range(6):
+                left, right = [r for r in part if r[0][f] <= cut], [r for r in part if r[0][f] > cut]
+                if left and right:
+                    gain = len(left) * len(right) / len(part) ** 2 * (mean(left) - mean(right)) ** 2
+                    if best is None or gain > best[0] * (1 + 1e-9):
+                        best = (gain, f, cut, left, right)
+        if not depth or best is None:
+            return lambda x, m=mean(part): m
+        _, f, cut, left, right = best
+        below, above = grow(left, depth - 1), grow(right, depth - 1)
+        return lambda x: below(x) if x[f] <= cut else above(x)
+
+    margins = [0.0] * len(known)
+    for round_ in range(4):
+        part = [((a, b), 2 * (y - m) if round_ else y) for (a, b, y), m in zip(known, margins)]
+        tree = grow(part, 2)
+        margins = [m + (0.3 if round_ else 1.0) * tree((a, b)) for (a, b, _), m in zip(known, margins)]
+    expected = {(a, b): m for (a, b, _), m in zip(known, margins)}
+    for r in train.apply_model(model, data).select("a", "b", "prediction").distinct().collect():
+        assert r.prediction == pytest.approx(expected[r.a, r.b])
+
+
+def test_filter_on_the_prediction_names_each_tree_once(spark, three):
+    """Spark moves the filter before the model with all the prediction is made of."""
+    model = train.train_boosted(three, ["a", "b"], "y", "multinomial", trees=2, depth=1)
+    plan = train.apply_model(model, three).filter("prediction IS NOT NULL").select("id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("UDF(") < 40
