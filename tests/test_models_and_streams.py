@@ -253,6 +253,20 @@ def test_engine_features_use_training_bounds(spark):
     assert rul.chosen_features(train_set, "label1", 2)
 
 
+def test_engine_sets_are_rolled_once(spark, monkeypatch):
+    draw = random.Random(5)
+    rows = [(i, c, c - 1, draw.random(), draw.random()) for i in (1, 2, 3) for c in range(1, 13)]
+    cycles = spark.createDataFrame(rows, "id INT, cycle INT, pos BIGINT, s1 DOUBLE, s2 DOUBLE")
+    truth = spark.createDataFrame([(1, 10), (2, 50)], "id INT, RUL INT")
+    whole, last = rul.labelled_cycles(cycles, ["s1", "s2"]), rul.labelled_cycles(cycles, ["s1", "s2"], truth)
+    calls, roll = [], rul.rolling_partial
+    monkeypatch.setattr(rul, "rolling_partial", lambda *a: [calls.append(a), roll(*a)][1])
+    both = rul.labelled_sets(cycles, ["s1", "s2"], truth)
+    assert len(calls) == 1
+    assert [df.columns for df in both] == [whole.columns, last.columns]
+    assert [rows_of(df) for df in both] == [rows_of(whole), rows_of(last)]
+
+
 def test_retail_rules_and_horizons(spark):
     from datetime import timedelta
 
