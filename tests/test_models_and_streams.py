@@ -5,6 +5,7 @@ from datetime import datetime as dt
 from types import SimpleNamespace
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from checks.q_models import SENSORS, train_tree
@@ -289,6 +290,26 @@ def test_matching_scores_every_person(spark):
         assert matching.match_project(model, people, project, 0.0, products).count() == 60
 
 
+def test_products_are_made_in_passes_not_kept(spark, monkeypatch):
+    """The trees are those of Spark ML on the long vectors, which are never kept."""
+    draw = random.Random(12)
+    rows = []
+    for i in range(300):
+        rt, pt = [[round(draw.uniform(-1, 1), 2) for _ in range(3)] for _ in "rp"]
+        rows.append((i, rt, pt, int(rt[0] * pt[1] + 0.3 * rt[2] > draw.uniform(-0.2, 0.2))))
+    pairs = spark.createDataFrame(rows, "PersonId INT, rt ARRAY<DOUBLE>, pt ARRAY<DOUBLE>, label INT")
+    vectors = matching.pair_vectors(pairs, True).withColumn("label", F.col("label").cast("double"))
+    plain = GBTClassifier(maxIter=4, maxDepth=3, stepSize=0.2, minInstancesPerNode=10, seed=train.SEED).fit(vectors)
+    monkeypatch.setattr(matching, "fit_kept", lambda *_: pytest.fail("vectors are kept"))
+    monkeypatch.setattr(matching, "pair_vectors", lambda *_: pytest.fail("vectors are made"))
+    model = matching.train_matcher(pairs, trees=4, depth=3, products=True)
+    got = {r.PersonId: r.s for r in score.score_model(model, vectors, ["PersonId"], "s").collect()}
+    for r in plain.transform(vectors).select("PersonId", "probability").collect():
+        assert got[r.PersonId] == pytest.approx(r.probability[1])
+    with pytest.raises(ValueError):
+        matching.train_matcher(pairs.withColumn("label", F.lit(2)), products=True)
+
+
 def test_delay_model(spark):
     df = spark.createDataFrame([(float(i % 7 + (o == "a") * 5), float(i % 24), i % 7 + 1, o) for i in range(100) for o in "ab"], "ArrDelay DOUBLE, CRSDepTime DOUBLE, DayOfWeek INT, Origin STRING")
     model = flights.delay_model(df)
