@@ -200,3 +200,15 @@ def test_filter_on_the_prediction_names_each_tree_once(spark, three):
     model = train.train_boosted(three, ["a", "b"], "y", "multinomial", trees=2, depth=1)
     plan = train.apply_model(model, three).filter("prediction IS NOT NULL").select("id")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("UDF(") < 40
+
+
+def test_kept_rows_are_not_kept_twice(spark, monkeypatch):
+    """Rows the caller keeps are read from there, by forests and by boosted trees."""
+    data = spark.createDataFrame([(float(i % 7), float(i % 5)) for i in range(200)], "a DOUBLE, y DOUBLE").persist()
+    data.count()
+    kept, persist = [], type(data).persist
+    monkeypatch.setattr(type(data), "persist", lambda self, *a: [kept.append(self.columns), persist(self, *a)][1])
+    train.train_forest(data, ["a"], "y", False, trees=2, depth=2)
+    train.train_boosted(data, ["a"], "y", "gaussian", trees=2, depth=2)
+    assert kept == []
+    data.unpersist()
